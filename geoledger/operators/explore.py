@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from geoledger import constants as K
 from geoledger.functions import text as T
 from geoledger.functions.text import _col
+from geoledger.session import ensure_checkpoint_dir
 
 _SPACES = f"{K.SPACE_PATTERN}+"
 
@@ -146,12 +147,18 @@ def filter_states(filters: DataFrame) -> DataFrame:
     )
 
 
+_ANY = "*"
+
+
 def _asked(states: DataFrame) -> DataFrame:
-    """States by the (type, country) they accept; country is NULL when any will do."""
-    any_country = F.array(F.lit(None).cast("string"))
-    countries = F.when(F.size("countries") > 0, F.col("countries")).otherwise(any_country)
+    """States by each (type, country) they accept; a star stands for any country."""
+    countries = F.when(F.size("countries") > 0, F.col("countries")).otherwise(F.array(F.lit(_ANY)))
     return states.select(
-        "state", "filters", "tokens", "has_zh", "scheduled_only", F.explode("types").alias("type"),
+        "state",
+        "tokens",
+        "has_zh",
+        "scheduled_only",
+        F.explode("types").alias("type"),
         countries.alias("_countries"),
     ).select("*", F.explode("_countries").alias("country")).drop("_countries")
 
@@ -159,7 +166,7 @@ def _asked(states: DataFrame) -> DataFrame:
 def _offered(places: DataFrame, *columns: Column | str) -> DataFrame:
     return places.select(
         "type",
-        F.coalesce("iso_country", F.lit("")).alias("iso_country"),
+        F.coalesce("iso_country", F.lit("")).alias("country"),
         T.blank_to_null("name_zh").isNotNull().alias("named"),
         F.coalesce(F.col("scheduled_service") == "yes", F.lit(False)).alias("scheduled"),
         *columns,
@@ -167,11 +174,10 @@ def _offered(places: DataFrame, *columns: Column | str) -> DataFrame:
 
 
 def _meet(offered: DataFrame, asked: DataFrame) -> DataFrame:
-    """Equi-joins of offers with demands: by type and country, and by type where any country does."""
-    here = asked.where(F.col("country").isNotNull()).withColumnRenamed("country", "iso_country")
-    anywhere = asked.where(F.col("country").isNull()).drop("country")
-    both = offered.join(here, ["type", "iso_country"]).unionByName(offered.join(anywhere, "type"))
-    return both.where(
+    """Equi-join of offers with demands; an offer meets demands for its country and for any."""
+    kept = [name for name in offered.columns if name != "country"]
+    both = offered.select(*kept, F.explode(F.array("country", F.lit(_ANY))).alias("country"))
+    return both.join(asked, ["type", "country"]).where(
         (~F.col("has_zh") | F.col("named")) & (~F.col("scheduled_only") | F.col("scheduled"))
     )
 
@@ -189,19 +195,20 @@ def count_filter_table(places: DataFrame, filters: DataFrame) -> DataFrame:
     """Per distinct filter state how many saved filters share it and how many places it keeps.
 
     States without words are answered from the counts per facet, so no place is paired with them;
-    states with words read the places themselves.
+    states with words read the places themselves. The states feed three branches and are
+    checkpointed, so the saved filters are decoded once.
     """
-    states = filter_states(filters)
+    ensure_checkpoint_dir(places.sparkSession)
+    states = filter_states(filters).checkpoint()
     asked = _asked(states)
-    facets = _offered(places).groupBy("type", "iso_country", "named", "scheduled").agg(
+    facets = _offered(places).groupBy("type", "country", "named", "scheduled").agg(
         F.count(F.lit(1)).alias("places")
     )
     plain = _meet(facets, asked.where(F.size("tokens") == 0)).select("state", "places")
     worded = (
         _meet(_offered(places, haystack().alias("text")), asked.where(F.size("tokens") > 0))
         .where(F.forall("tokens", lambda token: F.contains(F.col("text"), token)))
-        .groupBy("state")
-        .agg(F.count(F.lit(1)).alias("places"))
+        .select("state", F.lit(1).cast("bigint").alias("places"))
     )
     counted = plain.unionByName(worded).groupBy("state").agg(F.sum("places").alias("places"))
     return states.join(counted, "state", "left").select(

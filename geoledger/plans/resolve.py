@@ -33,35 +33,37 @@ def resolve_names(
     """
     targets = select_targets(places)
     matches = MT.match_cascade(targets, candidates)
-    clear = matches.where(~F.col("ambiguous"))
-
     chosen = candidates.where(F.col("label").isNotNull()).select(
         *MT.CANDIDATE_KEY, F.col("label").alias("entity_label"), "suffix", "converted"
     )
     located = L.best_settlement(settlements).select(
         F.col("entity").alias("qid"),
         F.col("label").alias("location_zh"),
-        F.col("admin_qid"),
+        "admin_qid",
         F.col("suffix").alias("location_suffix"),
     )
-    found = (
-        clear.join(chosen, list(MT.CANDIDATE_KEY), "left")
-        .join(located, "qid", "left")
-        .select(
-            "id",
-            F.col("qid").alias("match_qid"),
-            F.col("property").alias("match_property"),
-            "entity_label",
-            "suffix",
-            "converted",
-            "location_zh",
-            F.concat(
-                F.lit("wikidata:"), "qid", F.lit(":P131:"), "admin_qid", F.lit(":"), "location_suffix"
-            ).alias("location_zh_source"),
-        )
+    described = matches.join(chosen, list(MT.CANDIDATE_KEY), "left").join(located, "qid", "left")
+    location_source = F.concat(
+        F.lit("wikidata:"), "qid", F.lit(":P131:"), "admin_qid", F.lit(":"), "location_suffix"
+    )
+    # An ambiguous match names neither the place nor its location.
+    clear = ~F.col("ambiguous")
+    facts = described.select(
+        "id",
+        F.col("property").alias("match_property"),
+        "ambiguous",
+        *[
+            F.when(clear, value).alias(name)
+            for name, value in {
+                "match_qid": F.col("qid"),
+                "entity_label": F.col("entity_label"),
+                "suffix": F.col("suffix"),
+                "converted": F.col("converted"),
+                "location_zh": F.col("location_zh"),
+                "location_zh_source": location_source,
+            }.items()
+        ],
     )
-    doubtful = matches.where("ambiguous").select("id", F.lit(True).alias("ambiguous"))
-    facts = found.unionByName(doubtful, allowMissingColumns=True)
 
     cities = targets.select(F.col("municipality").alias("city"))
     named_cities = L.city_names(cities, pages, redirects, simplify).select(

@@ -113,16 +113,23 @@ _STATE_SQL = """
  has_zh, scheduled_only"""
 
 
-def _described(filters, result):
+def _described(result):
     """Replace the state key by readable columns."""
-    states = E.filter_states(filters)
-    return result.join(states.drop("filters"), "state").withColumns(
+    state = F.from_json(
+        "state",
+        "types array<string>, countries array<string>, tokens array<string>, has_zh boolean, scheduled_only boolean",
+    )
+    shown = result.withColumn("_state", state)
+    text = lambda name, by: F.nullif(F.array_join(f"_state.{name}", by), F.lit(""))
+    return shown.withColumns(
         {
-            "types": F.nullif(F.array_join("types", ","), F.lit("")),
-            "countries": F.nullif(F.array_join("countries", ","), F.lit("")),
-            "words": F.nullif(F.array_join("tokens", " "), F.lit("")),
+            "types": text("types", ","),
+            "countries": text("countries", ","),
+            "words": text("tokens", " "),
+            "has_zh": F.col("_state.has_zh"),
+            "scheduled_only": F.col("_state.scheduled_only"),
         }
-    ).drop("state", "tokens")
+    ).drop("state", "_state")
 
 
 @query("p12_count_filter_table", f"""
@@ -133,7 +140,7 @@ using (types, countries, words, has_zh, scheduled_only)
 """)
 def _p12(v):
     filters = E.decode_filters(v("filter_urls"), "url")
-    return _described(filters, E.count_filter_table(named(v), filters))
+    return _described(E.count_filter_table(named(v), filters))
 
 
 @query("p12_apply_filter_table", f"""
@@ -146,7 +153,7 @@ def _p12_pairs(v):
     kept = E.apply_filter_table(named(v), filters).groupBy("state").agg(
         F.count(F.lit(1)).alias("places"), F.min("id").alias("first_id"), F.max("id").alias("last_id")
     )
-    return _described(filters, kept)
+    return _described(kept)
 
 
 @query("p14_name_source_kind", """

@@ -242,7 +242,7 @@ def _m5_frames(v):
 @query("m10_refresh_job", f"{match._REPLIED} {match._COUNTERS} from final")
 def _m10(v):
     """The refresh job with files: entries, archive, replies, names and archive written, counters."""
-    first = RS.apply_archive(match.resolved(v), match.archive(v))
+    first = match.archived(v)
     spark = first.sparkSession
     root = scratch(spark)
     inputs = RS.ResolutionInputs(

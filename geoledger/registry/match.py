@@ -13,6 +13,8 @@ from geoledger.operators import matching as MT
 from geoledger.operators import replies as R
 from geoledger.plans import resolve as RS
 from geoledger.registry import query
+from geoledger.session import ensure_checkpoint_dir
+from geoledger.sources.names import archive_names
 
 SIMPLIFY = T.Simplifier("國際機場", "国际机场", phrases=(("港場", "香港场"),))
 
@@ -439,8 +441,6 @@ archive as (
 
 
 def archive(v):
-    from geoledger.sources.names import archive_names
-
     places = v("places").where(F.col("scheduled_service") == "no")
     source = F.when(F.col("elevation_ft") >= -500, "llm:codex:old")
     return archive_names(
@@ -455,6 +455,13 @@ def _m8(v):
     return RS.apply_archive(resolved(v), archive(v)).select(*K.NAME_COLUMNS)
 
 
+def archived(v):
+    """Entries after the archive, cut off from the plan that made them: several branches read them."""
+    entries = RS.apply_archive(resolved(v), archive(v))
+    ensure_checkpoint_dir(entries.sparkSession)
+    return entries.checkpoint()
+
+
 @query("w6_request_batches", f"""
 {_RESOLVED}, waiting as (
  select id, name, iso_country, municipality,
@@ -467,7 +474,9 @@ select batch_id, count(*) as size, min(id) as first_id, max(id) as last_id,
 from waiting group by batch_id
 """)
 def _w6(v):
-    return R.request_batches(RS.pending(resolved(v)))
+    entries = resolved(v)
+    ensure_checkpoint_dir(entries.sparkSession)
+    return R.request_batches(RS.pending(entries.checkpoint()))
 
 
 _REPLIED = f"""
@@ -507,7 +516,7 @@ def replies(v, entries):
 
 @query("m9_apply_replies", f"{_REPLIED} select {_NAME_LIST} from final")
 def _m9(v):
-    entries = RS.apply_archive(resolved(v), archive(v))
+    entries = archived(v)
     return RS.apply_replies(entries, replies(v, entries), "codex:new").select(*K.NAME_COLUMNS)
 
 
@@ -531,7 +540,7 @@ select count(*) as targets, count(*) filter (where origin = 'entity') as resolve
 
 @query("a9_refresh_stats", f"{_REPLIED} {_COUNTERS} from final")
 def _a9(v):
-    entries = RS.apply_archive(resolved(v), archive(v))
+    entries = archived(v)
     return RS.refresh_stats(RS.apply_replies(entries, replies(v, entries), "codex:new"), replied=True)
 
 

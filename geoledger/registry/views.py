@@ -258,16 +258,20 @@ def needs(sql: str) -> list[str]:
     return list(dict.fromkeys(_NAMES.findall(sql)))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table or a view over them as a DataFrame."""
-    if name in TABLES:
-        return table(spark, sf_dir, name)
-    sql = VIEWS[name]
-    return spark.sql(sql, **{part: view(spark, sf_dir, part) for part in needs(sql)})
+    """A given table or a view over them as a DataFrame.
+
+    The session keeps the unexecuted DataFrames, so a table's schema is read once.
+    """
+    known = spark.__dict__.setdefault("_geoledger_views", {})
+    key = (sf_dir, name)
+    if key not in known:
+        if name in TABLES:
+            known[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        else:
+            sql = VIEWS[name]
+            known[key] = spark.sql(sql, **{part: view(spark, sf_dir, part) for part in needs(sql)})
+    return known[key]
 
 
 def standalone(sql: str) -> str:

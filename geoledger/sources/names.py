@@ -26,7 +26,7 @@ def _read_strict(spark: SparkSession, path: str, columns: Sequence[str]) -> Data
     if header != list(columns):
         raise DataRejected(f"{path}: header {header} is not {list(columns)}")
     rows = read_raw(spark, path, header)
-    enforce(rows.where("_bad is not null").select("_bad"), f"{path}: ragged rows")
+    enforce(rows.where("_bad is not null").select(columns[0], "_bad"), f"{path}: ragged rows")
     return rows.drop("_bad")
 
 

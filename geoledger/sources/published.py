@@ -109,26 +109,33 @@ def parse_published(lines: DataFrame, fields: list[str] | None = None) -> DataFr
     A value of the wrong type counts as missing. Rows without a known type, a finite coordinate,
     an id, an ident or a name are skipped.
     """
+    known = [name for name in K.PUBLISHED_FIELDS if fields is None or name in fields]
+    paths = [f"$.{name}" if fields is None else f"$[{fields.index(name)}]" for name in known]
     row = F.try_parse_json("value")
-    typed = lines.select(row.alias("row")).where(F.col("row").isNotNull())
-
-    def value(name: str) -> tuple[Column, Column]:
-        if fields is None:
-            path = f"$.{name}"
-        elif name in fields:
-            path = f"$[{fields.index(name)}]"
-        else:
-            return F.lit(None).cast("string"), F.lit(None).cast("string")
-        kind = F.schema_of_variant(F.try_variant_get("row", path, "variant"))
-        return kind, F.try_variant_get("row", path, "string")
+    values = F.array(*[F.try_variant_get("row", path, "variant") for path in paths])
+    cells = F.transform(
+        values,
+        lambda value: F.struct(
+            F.schema_of_variant(value).alias("kind"),
+            F.try_variant_get(value, "$", "string").alias("shown"),
+        ),
+    )
+    parsed_rows = lines.select(row.alias("row")).where(F.col("row").isNotNull())
+    # Exploding the one cell list keeps the filter below from moving into the parsing, where every
+    # condition would parse the row again.
+    typed = parsed_rows.select(F.explode(F.array(cells)).alias("cells"))
+
+    def cell(name: str) -> Column:
+        if name not in known:
+            return F.lit(None).cast("struct<kind:string,shown:string>")
+        return F.get("cells", F.lit(known.index(name)))
 
     def text(name: str) -> Column:
-        kind, shown = value(name)
-        return F.when((kind == "STRING") & (shown != ""), shown)
+        return F.when((cell(name)["kind"] == "STRING") & (cell(name)["shown"] != ""), cell(name)["shown"])
 
     def number(name: str) -> Column:
-        kind, shown = value(name)
-        parsed = F.when(kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), shown.try_cast("double"))
+        numeric = cell(name)["kind"].rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+        parsed = F.when(numeric, cell(name)["shown"].try_cast("double"))
         return F.when(F.abs(parsed) < F.lit(float("inf")), parsed)
 
     columns = {name: number(name) if name in K.PUBLISHED_NUMBERS else text(name) for name in K.PUBLISHED_FIELDS}

@@ -57,6 +57,7 @@ def run_pending(
     """
     arrivals = (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("maxFilesPerTrigger", 1)
         .option("pathGlobFilter", "*.{csv,path}")
         .load(landing_dir)
