@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
@@ -81,40 +81,57 @@ def ring_area(points: Column | str) -> Column:
     return F.when(F.size(ring) < 3, F.lit(0.0)).otherwise(F.abs(total) / 2)
 
 
-def _kept(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
-    """Mask of the points a Douglas-Peucker pass keeps."""
+def kept_points(
+    x: np.ndarray, y: np.ndarray, first: np.ndarray, last: np.ndarray, tolerance: np.ndarray
+) -> np.ndarray:
+    """Mask of the points that Douglas-Peucker keeps, for many rings at once.
+
+    Ring k fills the positions first[k] to last[k]. Each turn splits all open spans of all rings at
+    their farthest points, so the number of turns is the depth of the deepest ring.
+    """
     keep = np.ones(len(x), dtype=bool)
-    if len(x) <= 3 or tolerance <= 0:
-        return keep
-    keep[1:-1] = False
-    open_spans = [(0, len(x) - 1)]
-    while open_spans:
-        first, last = open_spans.pop()
-        if last - first < 2:
-            continue
-        px, py = x[first + 1 : last], y[first + 1 : last]
-        dx, dy = x[last] - x[first], y[last] - y[first]
-        if dx == 0 and dy == 0:
-            away = np.hypot(px - x[first], py - y[first])
-        else:
-            away = np.abs(dy * px - dx * py + x[last] * y[first] - y[last] * x[first]) / np.hypot(dy, dx)
-        farthest = int(np.argmax(away))
-        if away[farthest] > tolerance:
-            middle = first + 1 + farthest
-            keep[middle] = True
-            open_spans += [(first, middle), (middle, last)]
-    return keep
-
-
-@F.pandas_udf(S.ArrayType(S.BooleanType()))
-def _kept_points(xs: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for x, y, tolerance in xs:
-        yield pd.Series(
-            [
-                _kept(np.asarray(a, dtype=float), np.asarray(b, dtype=float), float(t))
-                for a, b, t in zip(x, y, tolerance)
-            ]
-        )
+    work = (last - first >= 3) & (tolerance > 0)
+    first, last, tolerance = first[work], last[work], tolerance[work]
+    inner = last - first - 1
+    keep[np.repeat(first + 1 - np.cumsum(inner) + inner, inner) + np.arange(inner.sum())] = False
+    while True:
+        some = last - first > 1
+        first, last, tolerance = first[some], last[some], tolerance[some]
+        if not len(first):
+            return keep
+        inner = last - first - 1
+        starts = np.cumsum(inner) - inner
+        span = np.repeat(np.arange(len(first)), inner)
+        at = first[span] + 1 + np.arange(len(span)) - starts[span]
+        ax, ay, bx, by = x[first], y[first], x[last], y[last]
+        dx, dy = bx - ax, by - ay
+        length = np.hypot(dy, dx)
+        closed = length == 0
+        to_line = np.abs(dy[span] * x[at] - dx[span] * y[at] + bx[span] * ay[span] - by[span] * ax[span])
+        to_point = np.hypot(x[at] - ax[span], y[at] - ay[span])
+        away = np.where(closed[span], to_point, to_line / np.where(closed, 1.0, length)[span])
+        farthest = np.maximum.reduceat(away, starts)
+        tops = np.flatnonzero(away == farthest[span])
+        _, earliest = np.unique(span[tops], return_index=True)
+        middle = at[tops[earliest]]
+        split = farthest > tolerance
+        first, last, tolerance, middle = first[split], last[split], tolerance[split], middle[split]
+        keep[middle] = True
+        first, last = np.concatenate([first, middle]), np.concatenate([middle, last])
+        tolerance = np.concatenate([tolerance, tolerance])
+
+
+@F.arrow_udf(S.ArrayType(S.BooleanType()))
+def _kept_points(x: pa.Array, y: pa.Array, tolerance: pa.Array) -> pa.Array:
+    offsets = x.offsets.to_numpy()
+    keep = kept_points(
+        x.values.to_numpy(zero_copy_only=False),
+        y.values.to_numpy(zero_copy_only=False),
+        offsets[:-1].astype(np.int64),
+        offsets[1:].astype(np.int64) - 1,
+        tolerance.to_numpy(zero_copy_only=False),
+    )
+    return pa.ListArray.from_arrays(x.offsets, pa.array(keep))
 
 
 def simplify_points(points: Column | str, tolerance: Column | float) -> Column:

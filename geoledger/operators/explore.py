@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from geoledger import constants as K
 from geoledger.functions import text as T
 from geoledger.functions.text import _col
-from geoledger.session import ensure_checkpoint_dir
+from geoledger.session import written
 
 _SPACES = f"{K.SPACE_PATTERN}+"
 
@@ -86,12 +86,19 @@ def decode_filters(df: DataFrame, url: str) -> DataFrame:
             decoded(F.regexp_replace(part, r"^[^=]*=?", "")).alias("value"),
         ),
     )
-    parsed = df.withColumn("_pairs", pairs)
-
-    def parameter(name: str) -> Column:
+    def first_value(name: str) -> Column:
         found = F.filter(F.col("_pairs"), lambda pair: pair["key"] == name)
         return F.try_element_at(found, F.lit(1))["value"]
 
+    names = ("type", "country", "q", "zh", "sched", "borders", "map")
+    # Each address is taken apart once; the columns below read the found values.
+    parsed = df.withColumn("_pairs", pairs).select(
+        *df.columns, F.struct(*[first_value(name).alias(name) for name in names]).alias("_given")
+    )
+
+    def parameter(name: str) -> Column:
+        return F.col(f"_given.{name}")
+
     def listed(name: str) -> Column:
         return F.transform(F.split(F.coalesce(parameter(name), F.lit("")), ","), T.strip)
 
@@ -112,7 +119,7 @@ def decode_filters(df: DataFrame, url: str) -> DataFrame:
             "borders": F.coalesce(parameter("borders") != "0", F.lit(True)),
             "basemap": F.when(basemap.isin(*K.BASEMAPS), basemap).otherwise(K.BASEMAPS[0]),
         }
-    ).drop("_pairs")
+    ).drop("_given")
 
 
 def encode_filters(df: DataFrame, name: str = "encoded") -> DataFrame:
@@ -150,12 +157,18 @@ def filter_states(filters: DataFrame) -> DataFrame:
 _ANY = "*"
 
 
+def _lengths(words: str) -> Column:
+    return F.transform(words, F.length)
+
+
 def _asked(states: DataFrame) -> DataFrame:
     """States by each (type, country) they accept; a star stands for any country."""
     countries = F.when(F.size("countries") > 0, F.col("countries")).otherwise(F.array(F.lit(_ANY)))
     return states.select(
         "state",
         "tokens",
+        # The longest word is the rarest guess and is tested before the others.
+        F.try_element_at(F.sort_array(F.arrays_zip(_lengths("tokens"), "tokens")), F.lit(-1))["tokens"].alias("lead"),
         "has_zh",
         "scheduled_only",
         F.explode("types").alias("type"),
@@ -182,35 +195,37 @@ def _meet(offered: DataFrame, asked: DataFrame) -> DataFrame:
     )
 
 
+def _worded(met: DataFrame) -> DataFrame:
+    """Met pairs whose text holds every word of the state."""
+    text = F.col("text")
+    return met.where(F.col("lead").isNull() | F.contains(text, F.col("lead"))).where(
+        (F.size("tokens") <= 1) | F.forall("tokens", lambda word: F.contains(text, word))
+    )
+
+
 def apply_filter_table(places: DataFrame, filters: DataFrame) -> DataFrame:
     """(state, id) for every distinct filter state and the places it keeps."""
     offered = _offered(places, "id", haystack().alias("text"))
-    met = _meet(offered, _asked(filter_states(filters)))
-    return met.where(
-        F.forall("tokens", lambda token: F.contains(F.col("text"), token))
-    ).select("state", "id")
+    met = _meet(offered, _asked(written(filter_states(filters))))
+    return _worded(met).select("state", "id")
 
 
 def count_filter_table(places: DataFrame, filters: DataFrame) -> DataFrame:
     """Per distinct filter state how many saved filters share it and how many places it keeps.
 
     States without words are answered from the counts per facet, so no place is paired with them;
-    states with words read the places themselves. The states feed three branches and are
-    checkpointed, so the saved filters are decoded once.
+    states with words read the places themselves. The states feed three branches and
+    become a table first, so the saved filters are decoded once.
     """
-    ensure_checkpoint_dir(places.sparkSession)
-    states = filter_states(filters).checkpoint()
+    states = written(filter_states(filters))
     asked = _asked(states)
     facets = _offered(places).groupBy("type", "country", "named", "scheduled").agg(
         F.count(F.lit(1)).alias("places")
     )
     plain = _meet(facets, asked.where(F.size("tokens") == 0)).select("state", "places")
-    worded = (
-        _meet(_offered(places, haystack().alias("text")), asked.where(F.size("tokens") > 0))
-        .where(F.forall("tokens", lambda token: F.contains(F.col("text"), token)))
-        .select("state", F.lit(1).cast("bigint").alias("places"))
-    )
-    counted = plain.unionByName(worded).groupBy("state").agg(F.sum("places").alias("places"))
+    worded = _meet(_offered(places, haystack().alias("text")), asked.where(F.size("tokens") > 0))
+    hits = _worded(worded).select("state", F.lit(1).cast("bigint").alias("places"))
+    counted = plain.unionByName(hits).groupBy("state").agg(F.sum("places").alias("places"))
     return states.join(counted, "state", "left").select(
         "state", "filters", F.coalesce("places", F.lit(0)).alias("places")
     )

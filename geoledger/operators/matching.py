@@ -12,7 +12,7 @@ from geoledger import constants as K
 from geoledger.functions import geo as G
 from geoledger.functions import text as T
 from geoledger.operators.nearby import near_pairs
-from geoledger.session import ensure_checkpoint_dir
+from geoledger.session import written
 
 CANDIDATE_KEY = ("property", "code", "qid")
 SITE = ("property", "code", "latitude_deg", "longitude_deg")
@@ -191,11 +191,10 @@ def class_closure(subclass_of: DataFrame, roots: Sequence[object], max_rounds: i
     """The root classes and all their transitive subclasses, from (child, parent) edges.
 
     Breadth first: each round joins the edges of the newest classes only and drops what is known
-    already, so cycles end. Every round is checkpointed, which keeps the plan short and lets a
-    lost executor's work be redone from the files.
+    already, so cycles end. Every round becomes a table, which keeps the plan short and lets a lost
+    executor's work be redone from the files.
     """
     spark = subclass_of.sparkSession
-    ensure_checkpoint_dir(spark)
     edges = subclass_of.select("child", "parent").where("child is not null and parent is not null")
     kind = edges.schema["parent"].dataType
     frontier = spark.createDataFrame([(root,) for root in roots], ["node"]).select(
@@ -205,7 +204,7 @@ def class_closure(subclass_of: DataFrame, roots: Sequence[object], max_rounds: i
     for _ in range(max_rounds):
         reached = edges.join(frontier, edges["parent"] == frontier["node"], "left_semi")
         fresh = reached.select(F.col("child").alias("node")).distinct()
-        frontier = fresh.join(known, "node", "left_anti").checkpoint()
+        frontier = written(fresh.join(known, "node", "left_anti"))
         if frontier.isEmpty():
             return known
         known = known.unionByName(frontier)

@@ -13,7 +13,7 @@ from geoledger.operators import matching as MT
 from geoledger.operators import replies as R
 from geoledger.plans import resolve as RS
 from geoledger.registry import query
-from geoledger.session import ensure_checkpoint_dir
+from geoledger.session import written
 from geoledger.sources.names import archive_names
 
 SIMPLIFY = T.Simplifier("國際機場", "国际机场", phrases=(("港場", "香港场"),))
@@ -457,9 +457,7 @@ def _m8(v):
 
 def archived(v):
     """Entries after the archive, cut off from the plan that made them: several branches read them."""
-    entries = RS.apply_archive(resolved(v), archive(v))
-    ensure_checkpoint_dir(entries.sparkSession)
-    return entries.checkpoint()
+    return written(RS.apply_archive(resolved(v), archive(v)))
 
 
 @query("w6_request_batches", f"""
@@ -474,9 +472,7 @@ select batch_id, count(*) as size, min(id) as first_id, max(id) as last_id,
 from waiting group by batch_id
 """)
 def _w6(v):
-    entries = resolved(v)
-    ensure_checkpoint_dir(entries.sparkSession)
-    return R.request_batches(RS.pending(entries.checkpoint()))
+    return R.request_batches(written(RS.pending(resolved(v))))
 
 
 _REPLIED = f"""

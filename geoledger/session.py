@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "geoledger", master: str | None = None, **conf: str) -> SparkSession:
@@ -46,3 +47,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = os.path.join(tempfile.mkdtemp(prefix="geoledger-"), "checkpoints")
     context.setCheckpointDir(configured)
     return configured
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows of a DataFrame as a table in the shared checkpoint folder.
+
+    Several branches can then read them without running the plan again, and a lost executor costs
+    its own tasks only. It runs the plan once, where checkpoint() runs it twice.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

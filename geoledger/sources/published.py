@@ -27,12 +27,7 @@ def project_published(places: DataFrame) -> DataFrame:
 
 def positional_row(fields: tuple[str, ...] = K.PUBLISHED_FIELDS) -> Column:
     """A row as one JSON array text in field order, NULLs as null."""
-    parts = [
-        F.coalesce(F.regexp_extract(F.to_json(F.struct(F.col(name).alias("v"))), r'(?s)^\{"v":(.*)\}\z', 1), F.lit(""))
-        for name in fields
-    ]
-    shown = [F.when(F.col(name).isNull(), F.lit("null")).otherwise(part) for name, part in zip(fields, parts)]
-    return F.concat(F.lit("["), F.concat_ws(",", *shown), F.lit("]"))
+    return F.to_json(F.array(*[F.col(name).cast("variant") for name in fields]))
 
 
 def publish_rows(places: DataFrame, names: DataFrame) -> DataFrame:
