@@ -167,7 +167,7 @@ def _asked(states: DataFrame) -> DataFrame:
     return states.select(
         "state",
         "tokens",
-        # The longest word is the rarest guess and is tested before the others.
+        # The longest word is the one the lookup goes by.
         F.try_element_at(F.sort_array(F.arrays_zip(_lengths("tokens"), "tokens")), F.lit(-1))["tokens"].alias("lead"),
         "has_zh",
         "scheduled_only",
@@ -186,45 +186,63 @@ def _offered(places: DataFrame, *columns: Column | str) -> DataFrame:
     )
 
 
-def _meet(offered: DataFrame, asked: DataFrame) -> DataFrame:
+def _meet(offered: DataFrame, asked: DataFrame, *more: str) -> DataFrame:
     """Equi-join of offers with demands; an offer meets demands for its country and for any."""
     kept = [name for name in offered.columns if name != "country"]
     both = offered.select(*kept, F.explode(F.array("country", F.lit(_ANY))).alias("country"))
-    return both.join(asked, ["type", "country"]).where(
+    return both.join(asked, ["type", "country", *more]).where(
         (~F.col("has_zh") | F.col("named")) & (~F.col("scheduled_only") | F.col("scheduled"))
     )
 
 
-def _worded(met: DataFrame) -> DataFrame:
-    """Met pairs whose text holds every word of the state."""
+def _grams(text: str) -> Column:
+    """Distinct substrings of one to three characters."""
+    last = F.length(text)
+
+    def pieces(size: int) -> Column:
+        starts = F.sequence(F.lit(1), last - (size - 1))
+        cut = F.transform(starts, lambda at: F.substr(F.col(text), at, F.lit(size)))
+        return F.when(last >= size, cut).otherwise(F.array().cast("array<string>"))
+
+    return F.array_distinct(F.concat(pieces(1), pieces(2), pieces(3)))
+
+
+def _meet_words(offered: DataFrame, asked: DataFrame) -> DataFrame:
+    """Offers that hold every word of a demand.
+
+    A text that holds a word holds the first characters of it, so these become a join key: a state
+    meets the texts with its beginning and not every place of its type.
+    """
+    keyed = offered.select("*", F.explode(_grams("text")).alias("gram"))
+    wanted = asked.where(F.size("tokens") > 0).withColumn("gram", F.substring("lead", 1, 3))
     text = F.col("text")
-    return met.where(F.col("lead").isNull() | F.contains(text, F.col("lead"))).where(
-        (F.size("tokens") <= 1) | F.forall("tokens", lambda word: F.contains(text, word))
-    )
+    met = _meet(keyed, wanted, "gram").where(F.contains(text, F.col("lead")))
+    return met.where((F.size("tokens") <= 1) | F.forall("tokens", lambda word: F.contains(text, word)))
 
 
 def apply_filter_table(places: DataFrame, filters: DataFrame) -> DataFrame:
     """(state, id) for every distinct filter state and the places it keeps."""
-    offered = _offered(places, "id", haystack().alias("text"))
-    met = _meet(offered, _asked(written(filter_states(filters))))
-    return _worded(met).select("state", "id")
+    asked = written(_asked(written(filter_states(filters))))
+    plain = _meet(_offered(places, "id"), asked.where(F.size("tokens") == 0))
+    worded = _meet_words(_offered(places, "id", haystack().alias("text")), asked)
+    return plain.select("state", "id").unionByName(worded.select("state", "id"))
 
 
 def count_filter_table(places: DataFrame, filters: DataFrame) -> DataFrame:
     """Per distinct filter state how many saved filters share it and how many places it keeps.
 
     States without words are answered from the counts per facet, so no place is paired with them;
-    states with words read the places themselves. The states feed three branches and
-    become a table first, so the saved filters are decoded once.
+    states with words look up the places that hold them. The states feed three branches and become
+    a table first, so the saved filters are decoded once.
     """
     states = written(filter_states(filters))
-    asked = _asked(states)
+    asked = written(_asked(states))
     facets = _offered(places).groupBy("type", "country", "named", "scheduled").agg(
         F.count(F.lit(1)).alias("places")
     )
     plain = _meet(facets, asked.where(F.size("tokens") == 0)).select("state", "places")
-    worded = _meet(_offered(places, haystack().alias("text")), asked.where(F.size("tokens") > 0))
-    hits = _worded(worded).select("state", F.lit(1).cast("bigint").alias("places"))
+    worded = _meet_words(_offered(places, haystack().alias("text")), asked)
+    hits = worded.select("state", F.lit(1).cast("bigint").alias("places"))
     counted = plain.unionByName(hits).groupBy("state").agg(F.sum("places").alias("places"))
     return states.join(counted, "state", "left").select(
         "state", "filters", F.coalesce("places", F.lit(0)).alias("places")

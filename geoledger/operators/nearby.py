@@ -19,7 +19,7 @@ def near_pairs(
     radius: float,
     enough: int = 1,
     first_size: float | None = None,
-    levels: int = 5,
+    levels: int = 8,
 ) -> DataFrame:
     """Pairs with equal `by` that hold, for every query, its `enough` nearest points in `radius`.
 

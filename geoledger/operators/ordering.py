@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -11,6 +13,19 @@ def ordered(df: DataFrame, key: str = "id") -> DataFrame:
     return df.orderBy(key)
 
 
+MOST_SLICES = 512
+
+
+def _slice_of(key: Column, cuts: Sequence, first: int = 0) -> Column:
+    """How many cut points are not above the key, by halving the list of cuts."""
+    if not cuts:
+        return F.lit(first)
+    middle = len(cuts) // 2
+    return F.when(key < F.lit(cuts[middle]), _slice_of(key, cuts[:middle], first)).otherwise(
+        _slice_of(key, cuts[middle + 1 :], first + middle + 1)
+    )
+
+
 def numbered(df: DataFrame, key: str, name: str = "rn", slices: int | None = None) -> DataFrame:
     """Add the 1-based position by a unique key.
 
@@ -19,13 +34,10 @@ def numbered(df: DataFrame, key: str, name: str = "rn", slices: int | None = Non
     runs again gives the same numbers. The driver sees the cut points only.
     """
     spark = df.sparkSession
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slices = slices or min(MOST_SLICES, int(spark.conf.get("spark.sql.shuffle.partitions")))
     parts = [step / slices for step in range(1, slices)]
     cuts = df.agg(F.percentile_approx(key, parts, 1000).alias("cuts")).first()["cuts"] if parts else []
-    cuts = sorted(set(cuts or []))
-    bounds = F.array(*[F.lit(cut) for cut in cuts]) if cuts else F.array().cast("array<bigint>")
-    # The slice of a row is the number of cut points not above its key.
-    sliced = df.withColumn("_slice", F.size(F.filter(bounds, lambda cut: cut <= F.col(key))))
+    sliced = df.withColumn("_slice", _slice_of(F.col(key), sorted(set(cuts or []))))
     sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows"))
     # At most `slices` rows remain here, so one task for the running total is enough.
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

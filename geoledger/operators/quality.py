@@ -15,8 +15,11 @@ class DataRejected(RuntimeError):
     """The input breaks a rule and may not be used."""
 
 
-def type_rows(raw: DataFrame) -> DataFrame:
-    """Typed snapshot columns plus `reason`, the first rule a row breaks (NULL for a good row)."""
+def type_rows(raw: DataFrame, ragged: Column | None = None) -> DataFrame:
+    """Typed snapshot columns plus `reason`, the first rule a row breaks (NULL for a good row).
+
+    `ragged` tells the rows whose number of cells is wrong; that rule comes before all others.
+    """
 
     def unreadable(name: str) -> Column:
         return F.when(T.clean(name).isNotNull() & F.col(f"_{name}").isNull(), f"{name} is not a number")
@@ -33,7 +36,9 @@ def type_rows(raw: DataFrame) -> DataFrame:
         "elevation_ft": T.parse_optional_int("elevation_ft"),
     }
     checked = raw.withColumns({f"_{name}": value for name, value in parsed.items()})
+    shape = F.lit(False) if ragged is None else ragged
     reason = F.coalesce(
+        F.when(shape, "wrong number of cells"),
         F.when(T.clean("ident").isNull(), "ident is empty"),
         F.when(T.clean("name").isNull(), "name is empty"),
         outside("type", K.PLACE_TYPES, required=True),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -12,9 +13,10 @@ from geoledger import constants as K
 from geoledger.operators import merge as M
 from geoledger.operators import quality as Q
 from geoledger.operators.explore import coverage
+from geoledger.session import written
 from geoledger.sources.names import path_exists, read_names
 from geoledger.sources.published import attach_names
-from geoledger.sources.snapshot import ragged_rows, read_snapshot, snapshot_meta, source_digest
+from geoledger.sources.snapshot import read_snapshot, snapshot_meta, source_digest
 from geoledger.sources.state import StateTable
 
 
@@ -57,14 +59,23 @@ def load_names(spark: SparkSession, path: str | None, allow_missing: bool) -> Da
     return None
 
 
-def checked_snapshot(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Typed rows of a snapshot; raises on the first kind of row that breaks a rule."""
+def checked_snapshot(
+    spark: SparkSession,
+    path: str,
+    multi_line: bool = True,
+    keep: Callable[[DataFrame], DataFrame] = written,
+) -> DataFrame:
+    """Typed rows of a snapshot; raises when any row breaks a rule.
+
+    The text is parsed once, into the table that `keep` writes; the checks and all later steps
+    read that table.
+    """
     raw = read_snapshot(spark, path, multi_line=multi_line)
-    typed = Q.type_rows(raw.where("_bad is null"))
-    broken = typed.where("reason is not null").select("raw_id", "ident", "reason")
-    Q.enforce(ragged_rows(raw), f"{path}: rows with a wrong number of cells")
+    typed = Q.type_rows(raw, ragged=F.col("_bad").isNotNull())
+    kept = keep(typed)
+    broken = kept.where("reason is not null").select("raw_id", "ident", "reason")
     Q.enforce(broken, f"{path}: rows that break a rule")
-    return typed.select(*K.SOURCE_COLUMNS)
+    return kept.select(*K.SOURCE_COLUMNS)
 
 
 def collect_job(
@@ -88,14 +99,13 @@ def collect_job(
     if run_id is not None and state.succeeded(run_id):
         return None
     names = load_names(spark, names_path, allow_missing_names)
-    typed = checked_snapshot(spark, snapshot_path, multi_line)
     if names is None:
         empty = ", ".join(f"{name} string" for name in K.ATTACHED_NAME_COLUMNS)
         names = spark.createDataFrame([], f"id bigint, {empty}")
     run_id = state.next_run_id() if run_id is None else run_id
     at = snapshot_at or datetime.now(timezone.utc)
 
-    staged = state.stage(run_id, incoming_rows(typed, names))
+    staged = checked_snapshot(spark, snapshot_path, multi_line, lambda df: state.stage(run_id, df))
     Q.enforce(Q.require_unique(staged, "id", "ident"), f"{snapshot_path}: keys that occur twice")
     rows_total, _ = Q.enforce_gate(Q.sanity_gate(staged, min_rows, min_large))
     if rows_total == 0:
@@ -108,10 +118,10 @@ def collect_job(
     state.log(run_id, at, "running", source_url=snapshot_path, names_file_sha256=names_digest)
     try:
         version = (state.version() or 0) + 1
-        merged = M.merge_with_changes(state.read(), staged, at)
+        merged = M.merge_with_changes(state.read(), incoming_rows(staged, names), at)
         state.write_version(version, merged, rows_total)
         counts = M.merge_counts(state.changes(version)).first()
-        covered = coverage(staged).first()
+        covered = coverage(state.seen(version)).first()
         numbers = {
             "rows_total": rows_total,
             **{

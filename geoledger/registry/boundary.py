@@ -120,7 +120,7 @@ def f17_simplify(v):
 @query("f18_quantise_rings", f"""
 with {_POINTS}
 select ring, 2 * count(*) as numbers, round(sum(round_even(x, 2) + round_even(y, 2)), 2) as total,
- round_even(min_by(x, pos), 2) as first_x from pts group by ring
+ round_even(min_by(x, pos), 2) + 0.0e0 as first_x from pts group by ring
 """)
 def _f18(v):
     flat = B.quantise_rings(rings(v), 2)
@@ -128,7 +128,7 @@ def _f18(v):
         "ring",
         F.size("flat").cast("bigint").alias("numbers"),
         F.round(F.aggregate("flat", F.lit(0.0), lambda total, value: total + value), 2).alias("total"),
-        F.get("flat", F.lit(0)).alias("first_x"),
+        (F.get("flat", F.lit(0)) + F.lit(0.0)).alias("first_x"),
     )
 
 

@@ -42,9 +42,7 @@ def read_geojson(spark: SparkSession, path: str, lines: bool = False) -> DataFra
 
 def write_boundary_level(rings: DataFrame, path: str) -> DataFrame:
     """Gzip JSON lines per layer and level under `path`; returns the manifest rows."""
-    rings.repartition("layer", "level", F.pmod(F.xxhash64("feature"), F.lit(32))).write.mode(
-        "overwrite"
-    ).partitionBy("layer", "level").json(path, compression="gzip")
+    rings.write.mode("overwrite").partitionBy("layer", "level").json(path, compression="gzip")
     written = rings.sparkSession.read.schema(
         "feature bigint, iso string, name string, polygon int, ring_index int, flat array<double>, "
         "layer string, level string"

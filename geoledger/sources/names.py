@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from geoledger import constants as K
 from geoledger.functions import text as T
 from geoledger.operators.quality import DataRejected, enforce, require_unique
+from geoledger.session import written
 from geoledger.sources.snapshot import read_header, read_raw
 
 ARCHIVE_PREFIX = "llm:"
@@ -25,7 +26,7 @@ def _read_strict(spark: SparkSession, path: str, columns: Sequence[str]) -> Data
     header = read_header(spark, path)
     if header != list(columns):
         raise DataRejected(f"{path}: header {header} is not {list(columns)}")
-    rows = read_raw(spark, path, header)
+    rows = written(read_raw(spark, path, header))
     enforce(rows.where("_bad is not null").select(columns[0], "_bad"), f"{path}: ragged rows")
     return rows.drop("_bad")
 

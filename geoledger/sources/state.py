@@ -130,6 +130,11 @@ class StateTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self._data(version))
 
+    def seen(self, version: int) -> DataFrame:
+        """Rows of a version that its snapshot held."""
+        rows = self.spark.read.parquet(self._data(version))
+        return rows.where(F.col("change").isin("inserted", "updated", "unchanged"))
+
     def stage(self, run_id: int, rows: DataFrame) -> DataFrame:
         """Write a parsed snapshot aside and read it back, so later steps never parse it again."""
         path = f"{self.root}/staging/run={run_id}"

@@ -52,7 +52,7 @@ def test_blank_rows_are_skipped_whatever_their_width(spark, write):
 def test_ragged_rows_are_rejected(spark, write):
     path = write(csv_text(four_rows()) + "9,XYZ,large_airport\n")
     assert ragged_rows(read_snapshot(spark, path)).count() == 1
-    with pytest.raises(Q.DataRejected, match="number of cells"):
+    with pytest.raises(Q.DataRejected, match="wrong number of cells"):
         checked_snapshot(spark, path)
 
 
