@@ -186,25 +186,21 @@ def _offered(places: DataFrame, *columns: Column | str) -> DataFrame:
     )
 
 
-def _meet(offered: DataFrame, asked: DataFrame, *more: str) -> DataFrame:
+def _meet(offered: DataFrame, asked: DataFrame) -> DataFrame:
     """Equi-join of offers with demands; an offer meets demands for its country and for any."""
     kept = [name for name in offered.columns if name != "country"]
     both = offered.select(*kept, F.explode(F.array("country", F.lit(_ANY))).alias("country"))
-    return both.join(asked, ["type", "country", *more]).where(
-        (~F.col("has_zh") | F.col("named")) & (~F.col("scheduled_only") | F.col("scheduled"))
-    )
+    return both.join(asked, ["type", "country"]).where(_flags_met())
 
 
-def _grams(text: str) -> Column:
-    """Distinct substrings of one to three characters."""
-    last = F.length(text)
+def _flags_met() -> Column:
+    return (~F.col("has_zh") | F.col("named")) & (~F.col("scheduled_only") | F.col("scheduled"))
 
-    def pieces(size: int) -> Column:
-        starts = F.sequence(F.lit(1), last - (size - 1))
-        cut = F.transform(starts, lambda at: F.substr(F.col(text), at, F.lit(size)))
-        return F.when(last >= size, cut).otherwise(F.array().cast("array<string>"))
 
-    return F.array_distinct(F.concat(pieces(1), pieces(2), pieces(3)))
+def _grams(text: str) -> Column:
+    """Distinct substrings of one to three characters."""
+    pieces = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)) for size in (1, 2, 3)]
+    return F.array_distinct(F.concat(*pieces))
 
 
 def _meet_words(offered: DataFrame, asked: DataFrame) -> DataFrame:
@@ -213,10 +209,19 @@ def _meet_words(offered: DataFrame, asked: DataFrame) -> DataFrame:
     A text that holds a word holds the first characters of it, so these become a join key: a state
     meets the texts with its beginning and not every place of its type.
     """
-    keyed = offered.select("*", F.explode(_grams("text")).alias("gram"))
-    wanted = asked.where(F.size("tokens") > 0).withColumn("gram", F.substring("lead", 1, 3))
-    text = F.col("text")
-    met = _meet(keyed, wanted, "gram").where(F.contains(text, F.col("lead")))
+    # The outer form keeps Spark from testing every list of beginnings for emptiness first.
+    keyed = offered.select("*", F.explode_outer(_grams("text")).alias("gram"))
+    wanted = (
+        asked.where(F.size("tokens") > 0)
+        .withColumn("gram", F.substring("lead", 1, 3))
+        .withColumnRenamed("country", "wanted_country")
+    )
+    text, country = F.col("text"), F.col("wanted_country")
+    met = keyed.join(wanted, ["type", "gram"]).where(
+        (country.eqNullSafe(F.col("country")) | (country == _ANY))
+        & _flags_met()
+        & F.contains(text, F.col("lead"))
+    )
     return met.where((F.size("tokens") <= 1) | F.forall("tokens", lambda word: F.contains(text, word)))
 
 

@@ -71,7 +71,7 @@ def near_pairs(
     for axis in axes:
         low = F.floor((F.col(axis) - reach) / grid)
         high = F.floor((F.col(axis) + reach) / grid)
-        searching = searching.withColumn(f"_c{axis}", F.explode(F.sequence(low, high)))
+        searching = searching.withColumn(f"_c{axis}", F.explode_outer(F.sequence(low, high)))
     stored = (
         points.select(
             *by,
