@@ -203,10 +203,10 @@ def collected(v) -> StateTable:
 
 @query("m5_collect_runs", f"""
 {_JOB}
-select 1 as run_id, 'succeeded' as status, count(*) as rows_total, count(*) as rows_inserted, 0 as rows_updated,
+select cast(1 as bigint) as run_id, 'succeeded' as status, count(*) as rows_total, count(*) as rows_inserted, 0 as rows_updated,
  0 as rows_unchanged, 0 as rows_deactivated from before
 union all
-select 2, 'succeeded', count(*) filter (where seen), count(*) filter (where seen and not known),
+select cast(2 as bigint), 'succeeded', count(*) filter (where seen), count(*) filter (where seen and not known),
  count(*) filter (where seen and known and changed), count(*) filter (where seen and known and not changed),
  count(*) filter (where not seen) from both_sides
 """)

@@ -130,7 +130,7 @@ select id, property, code, qid, round(km, 6) as km, place from in_range where pl
 """)
 def _j2(v):
     scored = MT.match_by_code(v("places"), candidates(v))
-    return scored.select("id", "property", "code", "qid", F.round("km", 6).alias("km"), "place")
+    return scored.select("id", "property", "code", "qid", F.round("km", 6).alias("km"), F.col("place").cast("bigint").alias("place"))
 
 
 @query("w1_best_and_ambiguous", f"""
