@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +60,24 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once a session, so that functions which run in Python find it there.
+
+    Spark's file server hands it out; the driver's folders need not be visible to the executors.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    folder = Path(tempfile.mkdtemp(prefix="geoledger-code-"))
+    archive = folder / "geoledger_code.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, str(path.relative_to(root.parent)))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
