@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame
 
-from geoledger.llm.rows import documents, text_of
+from geoledger.llm.rows import documents, ship, text_of
 
 #: Window lengths, from the longest down. All are powers of two and need no padding when full.
 TIERS = (2048, 1024, 512, 256)
@@ -187,6 +187,7 @@ def packer(vocabulary: str) -> Callable:
 def pack(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The pieces of all rows. A null text counts as empty: its document is its end id. Rows with the same key, also
     a null one, are packed each on its own. Other columns are left out; an empty table gives no pieces."""
+    ship(df.sparkSession)
     rows = df.select(df[key].cast("long").alias("doc_id"), text_of(text).alias("text"))
     return rows.mapInArrow(packer(vocabulary), SCHEMA)
 

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from geoledger.llm.chunks import op10_chunk_reuse_bpe
+from geoledger.llm.merkle import op8_merkle_fingerprints
 from geoledger.llm.packing import op2_hierarchical_packing
+from geoledger.llm.quality import op1_weak_supervision
 from geoledger.llm.sharding import op3_rendezvous_sharding
 from geoledger.llm.simple8b import op5_simple8b_ids
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_weak_supervision,
         op2_hierarchical_packing,
         op3_rendezvous_sharding,
         op5_simple8b_ids,
+        op8_merkle_fingerprints,
+        op10_chunk_reuse_bpe,
     )
 }
 

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geoledger.session import ensure_checkpoint_dir, written
+from geoledger.session import ensure_checkpoint_dir, ship, written
 
-__all__ = ["documents", "stored", "text_of", "shared_folder", "conf_int", "clear"]
+__all__ = ["documents", "stored", "text_of", "shared_folder", "conf_int", "clear", "ship"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

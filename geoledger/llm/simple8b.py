@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoledger.llm.rows import documents, shared_folder, text_of
+from geoledger.llm.rows import documents, shared_folder, ship, text_of
 
 #: Selector -> (ids in a word, bits of an id).
 SELECTORS = ((1, 64), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
@@ -178,6 +178,7 @@ def write_ids(df: DataFrame, path: str, vocabulary: str, key: str = "doc_id", te
 
     Rows with the same key are ordered by a hash of their text. Files follow each other by their part number.
     """
+    ship(df.sparkSession)
     rows = df.select(df[key].cast("long").alias("doc_id"), text_of(text).alias("text")).withColumn(
         "_tie", F.xxhash64("text")
     )
@@ -189,6 +190,7 @@ def write_ids(df: DataFrame, path: str, vocabulary: str, key: str = "doc_id", te
 
 def read_digests(spark, path: str) -> DataFrame:
     """Per document of coded files: its place, length and checksum."""
+    ship(spark)
     blocks = spark.read.schema(BLOCKS).parquet(path)
     # One row a file here, so a running total in one task is small.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -97,6 +97,12 @@ class ByteLevel:
         return b"".join(out)
 
 
+    def ids_of_units(self, units: list[str]) -> bytes:
+        """Ids of units cut before."""
+        plain, spaced = self.plain, self.spaced
+        return b"".join([spaced[u[1:]] if u[0] == " " else plain[u] for u in units])
+
+
 class WordLevel:
     """Ids by a vocabulary that drops white space."""
 
