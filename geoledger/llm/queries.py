@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from geoledger.llm.chunks import op10_chunk_reuse_bpe
+from geoledger.llm.jaccard import op9_size_aware_jaccard
+from geoledger.llm.lines import op6_winnowed_line_dedup
 from geoledger.llm.merkle import op8_merkle_fingerprints
 from geoledger.llm.packing import op2_hierarchical_packing
 from geoledger.llm.quality import op1_weak_supervision
@@ -16,7 +18,9 @@ QUERIES = {
         op2_hierarchical_packing,
         op3_rendezvous_sharding,
         op5_simple8b_ids,
+        op6_winnowed_line_dedup,
         op8_merkle_fingerprints,
+        op9_size_aware_jaccard,
         op10_chunk_reuse_bpe,
     )
 }
