@@ -10,6 +10,7 @@ documents in ascending order, their lengths, the first id's place in its file, a
 
 from __future__ import annotations
 
+import functools
 import struct
 import zlib
 from collections.abc import Iterator
@@ -21,6 +22,7 @@ from geoledger.llm.rows import documents, shared_folder, ship, text_of
 
 #: Selector -> (ids in a word, bits of an id).
 SELECTORS = ((1, 64), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
+COUNTS = tuple(count for count, _ in SELECTORS)
 ESCAPE = 0
 #: Ids of a block, or more if its last document is longer.
 BLOCK_IDS = 1 << 16
@@ -32,6 +34,23 @@ BLOCKS = (
 DIGESTS = "part int, doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
+@functools.cache
+def bounds():
+    """The least integers that need more bits than each selector has."""
+    import numpy as np
+
+    return np.array([1 << bits for _, bits in SELECTORS[1:]], "u8")
+
+
+@functools.cache
+def small_widths():
+    """By integer below 2**16 the bits of the narrowest selector that holds it."""
+    import numpy as np
+
+    narrow = np.searchsorted(bounds(), np.arange(1 << 16, dtype="u8"), side="right")
+    return np.array([bits for _, bits in SELECTORS[1:]], "u1")[narrow]
+
+
 def encode(ids) -> bytes:
     """One coded block of unsigned integers below 2**64."""
     import numpy as np
@@ -40,9 +59,11 @@ def encode(ids) -> bytes:
     n = len(ids)
     if not n:
         return HEADER.pack(0, 0)
-    widths = np.ones(n, "u1")
-    for bits in (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60):
-        widths[ids >= np.uint64(1 << bits)] = next((b for _, b in SELECTORS[1:] if b > bits), 64)
+    if ids.max() < 1 << 16:
+        widths = small_widths()[ids]
+    else:
+        widths = np.searchsorted(bounds(), ids, side="right").astype("u1")
+        widths = np.array([b for _, b in SELECTORS[1:]] + [64], "u1")[widths]
     choice = np.zeros(n, "u1")
     peak, reach = widths.copy(), 1  # the widest of so many ids from each place on
     for selector in range(len(SELECTORS) - 1, 0, -1):
@@ -55,12 +76,10 @@ def encode(ids) -> bytes:
             reach += step
         fits = np.flatnonzero(peak <= bits)
         choice[fits] = selector
-    counts = np.array([c for c, _ in SELECTORS], "i8")
-    jump = counts[choice].tolist()
-    starts, at = [], 0
+    steps, starts, at = choice.tobytes(), [], 0
     while at < n:
         starts.append(at)
-        at += jump[at]
+        at += COUNTS[steps[at]]
     starts = np.asarray(starts, "i8")
     chosen = choice[starts]
     size = 1 + (chosen == ESCAPE)

@@ -11,33 +11,36 @@ from __future__ import annotations
 import functools
 import re
 
-ODD = re.compile(r"\s\s|[^\S \n]")
 UNIT = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
-#: Entries of a worker's memory of units; it is emptied beyond that, which costs time and changes no result.
-UNITS_KEPT = 900_000
-#: A space or none, letters, and a mark or none: one piece for the merges, or two.
-SIMPLE = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+#: Units a worker keeps, about 300 MB of them. They are forgotten beyond that, which costs time and changes no result.
+UNITS_KEPT = 1_500_000
+#: Letters whose bytes the vocabularies write one by one.
+LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
+class Uncut(Exception):
+    """The text may not be cut here."""
 
 
 class Units(dict):
     """Unit -> its ids as little-endian unsigned 32-bit integers.
 
-    A simple unit goes to the library's merges at once, without its normalizer and its patterns; it is what they would
-    make of it. All others take the library's whole way.
+    Plain letters go to the library's merges at once, without its normalizer and its patterns; it is what they would
+    make of them. A mark behind letters is a piece of its own. All other units take the library's whole way.
     """
 
     def __init__(self, tokenizer, prefix: str = "", lower: bool = False):
         super().__init__()
         self.tokenizer, self.model, self.prefix, self.lower = tokenizer, tokenizer.model, prefix, lower
-        self.marks = {m: self.whole(m) for m in ("", ".", ",")}
+        self.marks = {m: self.whole(m) for m in ".,"}
         self.table: dict[int, str] = {}
+        self.head = self.written(" ") if prefix else ""
 
     def whole(self, text: str) -> bytes:
-        import numpy as np
-
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return b"".join([i.to_bytes(4, "little") for i in ids])
 
-    def stands_for(self, letters: str) -> str:
+    def written(self, letters: str) -> str:
         """The letters as the vocabulary writes their bytes."""
         for c in letters:
             if ord(c) not in self.table:
@@ -45,17 +48,23 @@ class Units(dict):
                 self.table[ord(c)] = piece if c != " " else piece[:1]
         return letters.translate(self.table)
 
+    def made(self, unit) -> bytes:
+        text = unit.decode() if (raw := isinstance(unit, bytes)) else unit
+        if not text or text != "\n" and (text[0].isspace() or text[-1].isspace()):
+            raise Uncut
+        if self.lower and text.isalpha() and LATIN.fullmatch(text) and (small := text.lower()) != text:
+            return self[small.encode()]
+        if text.isalpha() and (text.isascii() or LATIN.fullmatch(text)):
+            letters = text if text.isascii() else self.written(text)
+            return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(self.head + letters)])
+        if text[-1] in self.marks and LATIN.fullmatch(text, 0, len(text) - 1):
+            return self[text[:-1].encode() if raw else text[:-1]] + self.marks[text[-1]]
+        return self.whole(self.prefix + text)
+
     def __missing__(self, unit):
         if len(self) >= UNITS_KEPT:
             self.clear()
-        text = unit.decode() if isinstance(unit, bytes) else self.prefix + unit
-        if simple := SIMPLE.fullmatch(text):
-            letters, mark = simple.groups()
-            merged = self.model.tokenize(self.stands_for(letters.lower() if self.lower else letters))
-            packed = b"".join([t.id.to_bytes(4, "little") for t in merged]) + self.marks[mark]
-        else:
-            packed = self.whole(text)
-        self[unit] = packed
+        self[unit] = packed = self.made(unit)
         return packed
 
 
@@ -84,23 +93,27 @@ class ByteLevel:
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
-        plain = self.plain
-        if ODD.search(text) or text[0].isspace() or text[-1].isspace():
-            return b"".join([plain[u] for u in UNIT.split(text)])
-        spaced, out = self.spaced.__getitem__, []
-        for k, line in enumerate(text.split("\n")):
-            words = line.split(" ")
-            if k:
-                out.append(plain["\n"])
-            out.append(plain[words[0]])
-            out.extend(map(spaced, words[1:]))
+        plain, spaced, out = self.plain, self.spaced.__getitem__, []
+        try:
+            for k, line in enumerate(text.split("\n")):
+                words = line.split(" ")
+                if k:
+                    out.append(plain["\n"])
+                out.append(plain[words[0]])
+                out.extend(map(spaced, words[1:]))
+        except Uncut:
+            return self.ids_of_units(UNIT.split(text))
         return b"".join(out)
 
-
     def ids_of_units(self, units: list[str]) -> bytes:
         """Ids of units cut before."""
-        plain, spaced = self.plain, self.spaced
-        return b"".join([spaced[u[1:]] if u[0] == " " else plain[u] for u in units])
+        plain, out = self.plain, []
+        for u in units:
+            if u.isspace() or u[:1].isspace() or u[-1:].isspace():
+                out.append(plain.whole(u) if u[:1] != " " or u[1:2].isspace() or u[-1:].isspace() else self.spaced[u[1:]])
+            else:
+                out.append(plain[u])
+        return b"".join(out)
 
 
 class WordLevel:
@@ -111,7 +124,11 @@ class WordLevel:
         self.units = Units(self.tokenizer, lower=True)
 
     def ids(self, text: str) -> bytes:
-        return b"".join(map(self.units.__getitem__, text.encode().split()))
+        words = text.encode().split()
+        try:
+            return b"".join(map(self.units.__getitem__, words))
+        except Uncut:
+            return b"".join([self.units.whole(w.decode()) for w in words])
 
 
 @functools.cache
