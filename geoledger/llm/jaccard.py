@@ -30,6 +30,7 @@ from math import comb
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geoledger.llm.graph import components
 from geoledger.llm.rows import documents, ship, stored, text_of
@@ -434,13 +435,8 @@ def light_boundary(df: DataFrame, text: str) -> int:
     return boundary({r["n"]: r["count"] for r in counts})
 
 
-def linked(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of all rows.
-
-    A component is named by its least key. Empty and null texts have no shingles, link with nothing and are named by
-    themselves. Rows with one key are each in the component of their own text; null keys name no component unless it
-    has no other. Other columns are left out, an empty table gives no rows.
-    """
+def grouped(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, sid, n_shingles, component, component_id) of all rows: see linked()."""
     ship(df.sparkSession)
     rows = df.select(df[key].cast("long").alias("doc_id"), text_of(text).alias("text"))
     most = light_boundary(rows, "text")
@@ -499,14 +495,54 @@ def linked(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         .select("sid", "doc_id", F.coalesce("component", "sid").alias("component"))
     )
     least_key = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    by_set = named.join(least_key, "component").select("sid", "component_id")
+    by_set = named.join(least_key, "component").select("sid", "component", "component_id")
     return docs.join(by_set, "sid", "left").select(
         "doc_id",
+        "sid",
         F.col("n").alias("n_shingles"),
+        "component",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 
+def linked(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) of all rows.
+
+    A component is named by its least key. Empty and null texts have no shingles, link with nothing and are named by
+    themselves. Rows with one key are each in the component of their own text; null keys name no component unless it
+    has no other. Other columns are left out, an empty table gives no rows.
+    """
+    return grouped(df, key, text).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of which one of each component is left: that of the least key, or of equal keys that of the least hash
+    of its text. Rows without words all stay. Columns stay as they are."""
+    found = stored(grouped(df, key, text))
+    odd = found.groupBy("doc_id").count().where(F.col("doc_id").isNull() | (F.col("count") > 1))
+    if odd.isEmpty():
+        gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone"))
+        return df.join(small(stored(gone)), F.col(key).cast("long") == F.col("_gone"), "left_anti")
+
+    # Keys that are null or repeat name no row, so rows are told apart by their texts as well.
+    set_of = F.pandas_udf(lambda texts: texts.map(lambda t: set_id(shingles(t))).astype("int64"), T.LongType())
+    known = found.select(F.col("sid").alias("_sid"), F.col("component").alias("_component")).distinct()
+    marked = (
+        df.withColumn("_own", set_of(text_of(text)))
+        .withColumn("_hash", F.xxhash64(F.col(text)))
+        .join(known, F.col("_own") == F.col("_sid"), "left")
+    )
+    place = F.struct(F.col(key).isNull().alias("a"), F.col(key).alias("b"), F.col("_hash").alias("c"))
+    firsts = marked.where("_own <> 0").groupBy(F.col("_component").alias("_c")).agg(F.min(place).alias("_first"))
+    chosen = (
+        marked.where("_own <> 0")
+        .join(firsts, F.col("_component") == F.col("_c"))
+        .where(F.col(key).eqNullSafe(F.col("_first.b")) & (F.col("_hash") == F.col("_first.c")))
+        .dropDuplicates(["_component"])
+    )
+    return chosen.select(*df.columns).unionByName(marked.where("_own = 0").select(*df.columns))
+
+
 def op9_size_aware_jaccard(spark, sf_dir: str) -> DataFrame:
     """Components of all documents by links of shingle Jaccard 0.8 or more."""
     return linked(documents(spark, sf_dir))

@@ -7,7 +7,9 @@ from geoledger.llm.jaccard import op9_size_aware_jaccard
 from geoledger.llm.lines import op6_winnowed_line_dedup
 from geoledger.llm.merkle import op8_merkle_fingerprints
 from geoledger.llm.packing import op2_hierarchical_packing
+from geoledger.llm.pii import op4_bootstrapped_pii
 from geoledger.llm.quality import op1_weak_supervision
+from geoledger.llm.secrets import op7_randomness_battery
 from geoledger.llm.sharding import op3_rendezvous_sharding
 from geoledger.llm.simple8b import op5_simple8b_ids
 
@@ -17,8 +19,10 @@ QUERIES = {
         op1_weak_supervision,
         op2_hierarchical_packing,
         op3_rendezvous_sharding,
+        op4_bootstrapped_pii,
         op5_simple8b_ids,
         op6_winnowed_line_dedup,
+        op7_randomness_battery,
         op8_merkle_fingerprints,
         op9_size_aware_jaccard,
         op10_chunk_reuse_bpe,
