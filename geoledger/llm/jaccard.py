@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geoledger.llm.graph import components
-from geoledger.llm.rows import documents, ship, stored, text_of
+from geoledger.llm.rows import documents, keeping, ship, stored, text_of
 
 WORDS = 5
 #: Documents, and list entries, that a task combines before it sends them.
@@ -520,27 +520,27 @@ def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     of its text. Rows without words all stay. Columns stay as they are."""
     found = stored(grouped(df, key, text))
     odd = found.groupBy("doc_id").count().where(F.col("doc_id").isNull() | (F.col("count") > 1))
-    if odd.isEmpty():
-        gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone"))
-        return df.join(small(stored(gone)), F.col(key).cast("long") == F.col("_gone"), "left_anti")
-
-    # Keys that are null or repeat name no row, so rows are told apart by their texts as well.
     set_of = F.pandas_udf(lambda texts: texts.map(lambda t: set_id(shingles(t))).astype("int64"), T.LongType())
-    known = found.select(F.col("sid").alias("_sid"), F.col("component").alias("_component")).distinct()
-    marked = (
-        df.withColumn("_own", set_of(text_of(text)))
-        .withColumn("_hash", F.xxhash64(F.col(text)))
-        .join(known, F.col("_own") == F.col("_sid"), "left")
-    )
-    place = F.struct(F.col(key).isNull().alias("a"), F.col(key).alias("b"), F.col("_hash").alias("c"))
-    firsts = marked.where("_own <> 0").groupBy(F.col("_component").alias("_c")).agg(F.min(place).alias("_first"))
-    chosen = (
-        marked.where("_own <> 0")
-        .join(firsts, F.col("_component") == F.col("_c"))
-        .where(F.col(key).eqNullSafe(F.col("_first.b")) & (F.col("_hash") == F.col("_first.c")))
-        .dropDuplicates(["_component"])
-    )
-    return chosen.select(*df.columns).unionByName(marked.where("_own = 0").select(*df.columns))
+
+    def by_key(rows: DataFrame) -> DataFrame:
+        gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone"))
+        return rows.join(small(stored(gone)), F.col("key").cast("long") == F.col("gone"), "left_anti")
+
+    def by_text(rows: DataFrame) -> DataFrame:
+        """Keys that are null or repeat name no row, so rows are told apart by their texts as well."""
+        known = found.select("sid", "component").distinct()
+        marked = rows.withColumn("own", set_of(text_of("text"))).withColumn("hash", F.xxhash64("text"))
+        wordy = marked.where("own <> 0").join(known, F.col("own") == F.col("sid"))
+        place = F.struct(F.col("key").isNull().alias("a"), F.col("key").alias("b"), F.col("hash").alias("c"))
+        firsts = wordy.groupBy(F.col("component").alias("c")).agg(F.min(place).alias("first"))
+        chosen = (
+            wordy.join(firsts, F.col("component") == F.col("c"))
+            .where(F.col("key").eqNullSafe(F.col("first.b")) & (F.col("hash") == F.col("first.c")))
+            .dropDuplicates(["component"])
+        )
+        return chosen.select(*rows.columns).unionByName(marked.where("own = 0").select(*rows.columns))
+
+    return keeping(df, {"key": key, "text": text}, by_key if odd.isEmpty() else by_text, [])
 
 
 def op9_size_aware_jaccard(spark, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoledger.llm.rows import clear, documents, stored
+from geoledger.llm.rows import documents, keeping, stored
 
 #: Words of the shortest run that is deleted when it repeats.
 RUN_WORDS = 50
@@ -143,32 +143,28 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least: i
     count no words but belong to the run around them. Where nothing repeats the text is untouched. Other columns stay;
     those named like an output column are replaced.
     """
-    rows = clear(df, [n for n in ("n_lines", "n_deleted") if n not in (key, text)])
-    runs = stored(merged_runs(repeated_runs(rows.select(key, text), key, text, least)))
-    few = runs.count() <= BROADCAST_RUNS
-    by_row = runs.groupBy(F.col("rid").alias("_rid"), F.col("owner").alias("_owner")).agg(
-        F.collect_list(F.struct("from", "to")).alias("_runs")
-    )
-    marked = rows.withColumn("_key", row_key(key, text))
-    joined = marked.join(
-        F.broadcast(by_row) if few else by_row,
-        (F.col("_key") == F.col("_rid")) & F.col(key).eqNullSafe(F.col("_owner")),
-        "left",
-    )
-    parts = F.split(F.col(text), "\n", -1)
-    left = F.filter(
-        parts, lambda x, i: ~F.exists(F.col("_runs"), lambda r: (r["from"] <= i) & (i <= r["to"]))
-    )
-    n_lines = F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(parts)).cast("long")
-    gone = F.aggregate(
-        F.coalesce("_runs", F.array()), F.lit(0).cast("long"), lambda n, r: n + r["to"] - r["from"] + 1
-    )
-    return (
-        joined.withColumn("n_lines", n_lines)
-        .withColumn("n_deleted", gone)
-        .withColumn(text, F.when(F.col("_runs").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")))
-        .drop("_key", "_rid", "_owner", "_runs")
-    )
+
+    def body(rows: DataFrame) -> DataFrame:
+        runs = stored(merged_runs(repeated_runs(rows.select("key", "text"), "key", "text", least)))
+        few = runs.count() <= BROADCAST_RUNS
+        by_row = runs.groupBy("rid", "owner").agg(F.collect_list(F.struct("from", "to")).alias("runs"))
+        joined = rows.withColumn("own", row_key("key", "text")).join(
+            F.broadcast(by_row) if few else by_row,
+            (F.col("own") == F.col("rid")) & F.col("key").eqNullSafe(F.col("owner")),
+            "left",
+        )
+        parts = F.split(F.col("text"), "\n", -1)
+        left = F.filter(parts, lambda x, i: ~F.exists("runs", lambda r: (r["from"] <= i) & (i <= r["to"])))
+        gone = F.aggregate(
+            F.coalesce("runs", F.array()), F.lit(0).cast("long"), lambda n, r: n + r["to"] - r["from"] + 1
+        )
+        return (
+            joined.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long"))
+            .withColumn("n_deleted", gone)
+            .withColumn("text", F.when(F.col("runs").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")))
+        )
+
+    return keeping(df, {"key": key, "text": text}, body, ["n_lines", "n_deleted"])
 
 
 def op6_winnowed_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoledger.llm.rows import clear, documents, stored, text_of
+from geoledger.llm.rows import documents, keeping, stored, text_of
 from geoledger.llm.spans import MARK, count_of, found, let, listed, marked, none, overlaps
 
 KINDS = ("email", "ip", "card", "phone", "ident")
@@ -38,7 +38,6 @@ LEAST_SEEDS, ROUNDS, LEAST_SCORE = 3, 3, 0.7
 SMOOTH = 1
 #: Pattern words up to which they are broadcast to the words of the corpus: some 32 MB.
 BROADCAST_WORDS = 500_000
-OWN = ("pii_base", "pii_spans")
 
 
 def digits_of(text: Column) -> Column:
@@ -111,10 +110,10 @@ def tokens(text: Column, base: Column) -> Column:
 TOKENS = "array<struct<start:bigint,end:bigint,form:string,left:string,right:string,seed:boolean>>"
 
 
-def scanned(df: DataFrame, text: str = "text") -> DataFrame:
-    """All rows with base spans, tokens and a number of their own; a null text is an empty one."""
-    value = text_of(text)
-    based = clear(df, [n for n in OWN if n != text]).withColumn("pii_base", base_spans(value))
+def scanned(rows: DataFrame) -> DataFrame:
+    """Rows with a column `text`, with base spans, tokens and a number of their own."""
+    value = text_of("text")
+    based = rows.withColumn("pii_base", base_spans(value))
     return based.withColumn(
         "_tokens",
         F.when(value.rlike("[0-9@]"), tokens(value, F.col("pii_base"))).otherwise(none(TOKENS)),
@@ -192,10 +191,14 @@ def find_pii(df: DataFrame, text: str = "text") -> DataFrame:
     """All rows with `pii_base` and `pii_spans`, arrays of (start, kind, end) in code points, kinds as in KINDS.
 
     Null and empty texts have no spans. Each row counts, also a repeated one; ties need no order. An empty table stays
-    empty. Columns named like an output column are replaced, others stay.
+    empty. Input columns of these names are replaced, others stay.
     """
-    scan = stored(scanned(df, text))
-    return with_discovered(scan, scan.select(F.col(text).alias("text")))
+
+    def body(rows: DataFrame) -> DataFrame:
+        scan = stored(scanned(rows))
+        return with_discovered(scan, scan.select("text"))
+
+    return keeping(df, {"text": text}, body, ["pii_base", "pii_spans"])
 
 
 def op4_bootstrapped_pii(spark, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geoledger.llm.rows import clear, documents, ship, stored, text_of
+from geoledger.llm.rows import documents, keeping, ship, stored, text_of
 
 SPACE = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
@@ -194,12 +194,10 @@ def fit(counts: dict[tuple[int, ...], int], rounds: int = 200) -> Model:
     return Model(good, tuple(map(tuple, on_good.tolist())), tuple(map(tuple, on_bad.tolist())))
 
 
-def with_votes(df: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
-    """All rows with the counts of their text and the rules' votes; columns of these names are replaced."""
-    ship(df.sparkSession)
-    rest = clear(df, [n for n in OWN if n != text])
-    counted = rest.withColumn("_stats", measured(text_of(text)))
-    wide = counted.select("*", "_stats.*").drop("_stats")
+def with_votes(rows: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """Rows with a column `text`, with the counts of it and the rules' votes."""
+    ship(rows.sparkSession)
+    wide = rows.withColumn("_stats", measured(text_of("text"))).select("*", "_stats.*").drop("_stats")
     return wide.withColumn("votes", F.array(*[r.vote().cast("int") for r in rules]))
 
 
@@ -224,12 +222,17 @@ def judged(voted: DataFrame, model: Model) -> DataFrame:
 
 
 def assess(df: DataFrame, text: str = "text") -> DataFrame:
-    """All rows with their quality. A null text has no words and fails; equal texts get equal verdicts.
+    """All rows with their counts, votes, quality, base_failed and kept.
 
-    The rows with their votes are stored once, fitted and judged from there.
+    A null text has no words and fails; equal texts get equal verdicts. Input columns of these names are replaced, the
+    others stay; an empty table stays empty. Rows with their votes are stored once, fitted and judged from there.
     """
-    voted = stored(with_votes(df, text))
-    return judged(voted, fit_votes(voted))
+
+    def body(rows: DataFrame) -> DataFrame:
+        voted = stored(with_votes(rows))
+        return judged(voted, fit_votes(voted))
+
+    return keeping(df, {"text": text}, body, OWN)
 
 
 def op1_weak_supervision(spark, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoledger.llm.rows import clear, documents, stored, text_of
+from geoledger.llm.rows import documents, keeping, stored, text_of
 from geoledger.llm.spans import MARK, count_of, found, let, listed, marked, masked, none, overlaps
 
 KINDS = ("assign", "access", "hex", "random")
@@ -36,7 +36,6 @@ ENCODINGS = (
 FALSE_SHARE = 0.05
 #: Steps of a unit of -ln(p), and the most steps told apart.
 STEPS, MOST_STEPS = 20, 2000
-OWN = ("secret_base", "secret_candidates")
 
 
 def upper_tail(z: Column) -> Column:
@@ -125,10 +124,9 @@ def base_spans(text: Column) -> Column:
     )
 
 
-def scanned(df: DataFrame, text: str = "text") -> DataFrame:
-    """All rows with their base spans and candidates; columns of these names are replaced. A null text has none."""
-    rows = clear(df, [n for n in OWN if n != text])
-    value = text_of(text)
+def scanned(rows: DataFrame) -> DataFrame:
+    """Rows with a column `text`, with their base spans and candidates."""
+    value = text_of("text")
     based = rows.withColumn("secret_base", base_spans(value))
     kind = "array<struct<start:bigint,end:bigint,encoding:int,size:int,step:int>>"
     tokens = F.when(value.rlike(CANDIDATE), candidates(value, F.col("secret_base"))).otherwise(none(kind))
@@ -167,22 +165,28 @@ def with_random(scan: DataFrame, cuts: dict[tuple[int, int], int]) -> DataFrame:
     return scan.withColumn("secret_spans", F.concat("secret_base", random))
 
 
+def spotted_in(rows: DataFrame) -> DataFrame:
+    scan = stored(scanned(rows))
+    return with_random(scan, structured_from(scan))
+
+
 def find_secrets(df: DataFrame, text: str = "text") -> DataFrame:
     """All rows with `secret_base` and `secret_spans`, arrays of (start, kind, end) in code points.
 
-    Null and empty texts have none. Equal texts get equal spans. Kinds are numbered as in KINDS. The scan is stored
-    once; the corpus-wide cuts are taken from it.
+    Null and empty texts have none. Equal texts get equal spans. Kinds are numbered as in KINDS. Input columns of these
+    names are replaced, others stay; an empty table stays empty. The scan is stored once; the corpus-wide cuts are
+    taken from it.
     """
-    scan = stored(scanned(clear(df, [n for n in ("secret_spans",) if n != text]), text))
-    return with_random(scan, structured_from(scan)).drop("secret_candidates")
+    return keeping(df, {"text": text}, spotted_in, ["secret_base", "secret_spans"])
 
 
 def mask_secrets(df: DataFrame, text: str = "text", mask: str = "[secret]") -> DataFrame:
-    """All rows with their secrets replaced by a mask; a null text stays null."""
-    spotted = find_secrets(df, text)
-    return spotted.withColumn(text, masked(F.col(text), F.col("secret_spans"), mask)).drop(
-        "secret_base", "secret_spans"
-    )
+    """All rows with their secrets replaced by a mask, overlapping ones by one; a null text stays null."""
+
+    def body(rows: DataFrame) -> DataFrame:
+        return spotted_in(rows).withColumn("text", masked(F.col("text"), F.col("secret_spans"), mask))
+
+    return keeping(df, {"text": text}, body, [])
 
 
 def op7_randomness_battery(spark, sf_dir: str) -> DataFrame:

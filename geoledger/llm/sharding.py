@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoledger.llm.rows import clear, documents, text_of
+from geoledger.llm.rows import documents, text_of
 
 #: Rows that one numbering task should sort at most, on average.
 ROWS_A_BUCKET = 50_000
@@ -99,20 +99,13 @@ def numbered(df: DataFrame, group: str, keys: Sequence[str], column: str = "slot
 def write_shards(df: DataFrame, path: str, key: str, weights: Sequence[float], files: int = 1) -> None:
     """All rows as Parquet in one folder a shard, each of up to so many files."""
     spread = F.pmod(F.xxhash64(*[c for c, kind in df.dtypes if not kind.startswith("map")]), F.lit(files))
-    (
-        assign(df, key, weights, "shard")
-        .withColumn("_file", spread)
-        .repartition(F.col("shard"), F.col("_file"))
-        .drop("_file")
-        .write.partitionBy("shard")
-        .parquet(path)
-    )
+    assign(df, key, weights, "shard").repartition(F.col("shard"), spread).write.partitionBy("shard").parquet(path)
 
 
 def op3_rendezvous_sharding(spark, sf_dir: str) -> DataFrame:
     """All documents over 24 shards of equal weight, and over 25."""
     text = text_of()
-    docs = clear(documents(spark, sf_dir).select("doc_id", "text"), ["shard", "slot"]).select(
+    docs = documents(spark, sf_dir).select(
         "doc_id",
         (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
