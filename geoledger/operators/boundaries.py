@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
@@ -14,6 +14,7 @@ from geoledger import constants as K
 from geoledger.functions import geo as G
 from geoledger.functions import text as T
 from geoledger.functions.text import _col
+from geoledger.session import ship
 
 POINTS = "array<struct<x:double,y:double>>"
 
@@ -137,6 +138,7 @@ def _kept_points(x: pa.Array, y: pa.Array, tolerance: pa.Array) -> pa.Array:
 def simplify_points(points: Column | str, tolerance: Column | float) -> Column:
     """The points a ring keeps at a tolerance; ends always stay."""
     ring = _col(points)
+    ship(SparkSession.active())
     limit = tolerance if isinstance(tolerance, Column) else F.lit(float(tolerance))
     keep = _kept_points(
         F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"]), limit
@@ -150,15 +152,17 @@ def simplify_rings(rings: DataFrame, tolerance: Column | float) -> DataFrame:
     return rings.withColumn("points", simplify_points("points", tolerance))
 
 
-def quantise(points: Column | str, decimals: Column | int) -> Column:
-    """Rounded and flattened coordinates [x, y, x, y, ...]."""
-    # bround takes a literal scale, so a scale that varies by row picks from the known ones.
+def quantise(points: Column | str, decimals: Column | int, scales: Sequence[int] = ()) -> Column:
+    """Rounded and flattened coordinates [x, y, x, y, ...].
+
+    A scale that varies by row must be one of `scales`; another one is an error.
+    """
+    # bround takes a literal scale, so a scale that varies by row picks from the given ones.
     def rounded(value: Column) -> Column:
         if isinstance(decimals, int):
             return F.bround(value, decimals)
-        known = sorted({spec[4] for spec in K.LEVEL_SPECS})
-        result = F.bround(value, known[0])
-        for scale in known[1:]:
+        result = F.raise_error(F.concat(F.lit("no such scale: "), decimals.cast("string"))).cast("double")
+        for scale in sorted(set(scales)):
             result = F.when(decimals == scale, F.bround(value, scale)).otherwise(result)
         return result
 
@@ -201,7 +205,7 @@ def build_levels(features: DataFrame, specs: Sequence[LevelSpec] = K.LEVEL_SPECS
         "spec.level",
         "polygon",
         "ring_index",
-        quantise("points", F.col("spec.decimals")).alias("flat"),
+        quantise("points", F.col("spec.decimals"), [spec[4] for spec in specs]).alias("flat"),
     )
 
 

@@ -187,7 +187,7 @@ def match_cascade(
     )
 
 
-def class_closure(subclass_of: DataFrame, roots: Sequence[object], max_rounds: int = 1000) -> DataFrame:
+def class_closure(subclass_of: DataFrame, roots: Sequence[object]) -> DataFrame:
     """The root classes and all their transitive subclasses, from (child, parent) edges.
 
     Breadth first: each round joins the edges of the newest classes only and drops what is known
@@ -195,20 +195,19 @@ def class_closure(subclass_of: DataFrame, roots: Sequence[object], max_rounds: i
     executor's work be redone from the files.
     """
     spark = subclass_of.sparkSession
-    edges = subclass_of.select("child", "parent").where("child is not null and parent is not null")
+    edges = written(subclass_of.select("child", "parent").where("child is not null and parent is not null").distinct())
     kind = edges.schema["parent"].dataType
     frontier = spark.createDataFrame([(root,) for root in roots], ["node"]).select(
         F.col("node").cast(kind)
     )
     known = frontier.distinct()
-    for _ in range(max_rounds):
+    while True:
         reached = edges.join(frontier, edges["parent"] == frontier["node"], "left_semi")
         fresh = reached.select(F.col("child").alias("node")).distinct()
         frontier = written(fresh.join(known, "node", "left_anti"))
         if frontier.isEmpty():
             return known
         known = known.unionByName(frontier)
-    raise RuntimeError(f"closure not complete after {max_rounds} rounds")
 
 
 def members_of(instance_of: DataFrame, subclass_of: DataFrame, roots: Sequence[object]) -> DataFrame:

@@ -9,12 +9,8 @@ from geoledger import constants as K
 from geoledger.functions import text as T
 from geoledger.operators.ordering import numbered
 
-_STRING = r'"(?:[^"\\]++|\\.)*+(?:"|\z)'
-_FLAT = rf'\{{(?:[^{{}}"]++|{_STRING})*+\}}'
-_NESTED = rf'\{{(?:[^{{}}"]++|{_STRING}|{_FLAT})*+\}}'
-_OBJECT = rf'\{{(?:[^{{}}"]++|{_STRING}|{_NESTED})*+\}}'
-# A quoted text outside any object, an object, or an object that never ends.
-_PIECES = rf"(?s){_STRING}|{_OBJECT}|\{{.*"
+# A quoted text, which may lack its end; a brace; or anything else.
+_PARTS = r'(?s)"(?:[^"\\]++|\\.)*+(?:"|\z)|[{}]|[^{}"]++'
 
 
 def request_batches(pending: DataFrame, size: int = K.REPLY_BATCH_SIZE) -> DataFrame:
@@ -48,13 +44,35 @@ def request_members(
     return placed.withColumn("batch_id", F.floor((F.col("rn") - 1) / size)).drop("rn")
 
 
+def outer_objects(text: Column) -> Column:
+    """The outermost objects of a text, nested to any depth, in order.
+
+    One pass over its quoted texts and braces counts the depth. Braces inside quotes do not count, quotes outside
+    objects hide what is in them, and an object that never ends is none.
+    """
+
+    def step(state: Column, part: Column) -> Column:
+        inside = (state["depth"] > 0) | (part == "{")
+        depth = F.when(part == "{", state["depth"] + 1).when(part == "}", F.greatest(state["depth"] - 1, F.lit(0)))
+        after = depth.otherwise(state["depth"])
+        grown = F.when(inside, F.concat(state["open"], part)).otherwise(state["open"])
+        closed = inside & (after == 0)
+        return F.struct(
+            after.alias("depth"),
+            F.when(closed, F.lit("")).otherwise(grown).alias("open"),
+            F.when(closed, F.concat(state["done"], F.array(grown))).otherwise(state["done"]).alias("done"),
+        )
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("open"), F.array().cast("array<string>").alias("done"))
+    return F.aggregate(F.regexp_extract_all(text, F.lit(_PARTS), F.lit(0)), start, step, lambda s: s["done"])
+
+
 def reply_objects(replies: DataFrame) -> DataFrame:
     """Every JSON object in a reply as rows (batch_id, position, id, is_text, value)."""
-    pieces = F.regexp_extract_all("reply", F.lit(_PIECES), F.lit(0))
-    parsed = replies.select("batch_id", F.posexplode(pieces).alias("position", "piece")).where(
-        F.col("piece").startswith("{")
-    )
-    entries = F.map_entries(F.from_json("piece", "map<string,variant>"))
+    pieces = outer_objects(F.col("reply"))
+    parsed = replies.select("batch_id", F.posexplode(pieces).alias("position", "piece"))
+    strict = {"allowSingleQuotes": "false"}
+    entries = F.map_entries(F.from_json("piece", "map<string,variant>", strict))
     rows = parsed.select("batch_id", "position", F.posexplode(entries).alias("turn", "entry"))
     value = F.col("entry.value")
     return rows.select(

@@ -62,7 +62,7 @@ def load_names(spark: SparkSession, path: str | None, allow_missing: bool) -> Da
 def checked_snapshot(
     spark: SparkSession,
     path: str,
-    multi_line: bool = True,
+    multi_line: bool = False,
     keep: Callable[[DataFrame], DataFrame] = written,
 ) -> DataFrame:
     """Typed rows of a snapshot; raises when any row breaks a rule.
@@ -86,17 +86,20 @@ def collect_job(
     *,
     snapshot_at: datetime | None = None,
     run_id: int | None = None,
+    snapshot_key: str = "",
     allow_missing_names: bool = False,
     min_rows: int = K.MIN_ROWS,
     min_large: int = K.MIN_LARGE,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> CollectResult | None:
     """Validate, name, merge and commit one snapshot.
 
     Input that breaks a rule stops the job before a run starts. A failure after that is logged and
-    leaves the visible state as it was. A run that already succeeded is not repeated (NULL result).
+    leaves the visible state as it was. A snapshot whose key was taken before, or a run that already
+    succeeded, is not repeated (NULL result). When another writer commits first, the merge starts
+    again from that writer's version.
     """
-    if run_id is not None and state.succeeded(run_id):
+    if snapshot_key and state.took(snapshot_key) or run_id is not None and state.succeeded(run_id):
         return None
     names = load_names(spark, names_path, allow_missing_names)
     if names is None:
@@ -115,11 +118,17 @@ def collect_job(
     names_digest = None
     if names_path is not None and path_exists(spark, names_path):
         names_digest = source_digest(snapshot_meta(spark, names_path)).first()["source_sha256"]
-    state.log(run_id, at, "running", source_url=snapshot_path, names_file_sha256=names_digest)
+    known = {"source_url": snapshot_path, "names_file_sha256": names_digest, "snapshot_key": snapshot_key or None}
+    state.log(run_id, at, "running", **known)
     try:
-        version = (state.version() or 0) + 1
-        merged = M.merge_with_changes(state.read(), incoming_rows(staged, names), at)
-        state.write_version(version, merged, rows_total)
+        committed = False
+        while not committed:
+            version = (state.version() or 0) + 1
+            folder = f"run={run_id}-v={version}"
+            current = state.read(version - 1 or None)
+            merged = M.merge_with_changes(current, incoming_rows(staged, names), at)
+            state.write_folder(folder, merged, rows_total)
+            committed = state.commit(version, folder, snapshot_key)
         counts = M.merge_counts(state.changes(version)).first()
         covered = coverage(state.seen(version)).first()
         numbers = {
@@ -135,11 +144,10 @@ def collect_job(
             run_id,
             datetime.now(timezone.utc),
             "succeeded",
-            source_url=snapshot_path,
             source_sha256=source["source_sha256"],
             source_bytes=source["source_bytes"],
-            names_file_sha256=names_digest,
             version=version,
+            **known,
             **numbers,
         )
     except Exception as error:
@@ -147,7 +155,7 @@ def collect_job(
             run_id,
             datetime.now(timezone.utc),
             "failed",
-            source_url=snapshot_path,
+            **known,
             error_message=f"{type(error).__name__}: {error}",
         )
         raise

@@ -28,7 +28,7 @@ def publish_job(
     positional: bool = True,
     min_rows: int = K.MIN_ROWS,
     min_large: int = K.MIN_LARGE,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> dict:
     """Write `out/rows` and `out/manifest` and return the manifest."""
     places = checked_snapshot(spark, snapshot_path, multi_line)

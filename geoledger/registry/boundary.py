@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from geoledger import constants as K
 from geoledger.operators import boundaries as B
 from geoledger.registry import query
 from geoledger.registry.spatial import xyz_sql
@@ -27,12 +28,14 @@ def rings(v):
 
 def features(v):
     """Each vector is a feature: a polygon, or for odd labels two polygons, the second with a hole."""
-    shape = rings(v).join(v("embeddings").select(F.col("vec_id").alias("ring"), "label"), "ring")
+    shape = v("embeddings").select(
+        F.col("vec_id").alias("ring"), _flat_pairs(F.col("embedding")).alias("points"), "label"
+    )
     pairs = F.transform("points", lambda p: F.array(p["x"], p["y"]))
     part = lambda first, length: F.slice(pairs, first, length)
     odd = F.col("label") % 2 == 1
     one = F.to_json(F.array(pairs))
-    two = F.to_json(F.array(F.array(part(1, 12)), F.array(part(13, 16), part(29, 4))))
+    two = F.to_json(F.array(F.array(part(1, 12)), F.array(part(13, 16), part(29, 1 << 20))))
     labels = F.create_map(
         F.lit("ISO_A2"), F.when(odd, "").otherwise("-99"), F.lit("ADM0_A3"), F.concat(F.lit("L"), F.col("label").cast("string")),
         F.lit("NAME"), F.lit(None).cast("string"), F.lit("name"), F.concat(F.lit("Ring "), F.col("ring").cast("string")),
@@ -105,9 +108,40 @@ def _f16(v):
     return rings(v).select("ring", F.round(B.ring_area("points"), 4).alias("area"))
 
 
-@query("f17_simplify_rings")
+def _kept_sql(source: str) -> str:
+    """Points that simplification keeps, of a table (k, pos, x, y, tol): each span splits at its farthest point."""
+    away = (
+        "case when u.x = w.x and u.y = w.y then sqrt((p.x - u.x) * (p.x - u.x) + (p.y - u.y) * (p.y - u.y))"
+        " else abs((w.y - u.y) * p.x - (w.x - u.x) * p.y + w.x * u.y - w.y * u.x)"
+        " / sqrt((w.x - u.x) * (w.x - u.x) + (w.y - u.y) * (w.y - u.y)) end"
+    )
+    return f"""
+spans(k, a, b) as (
+ select k, min(pos), max(pos) from {source} where tol > 0 group by k having count(*) > 3
+ union all
+ select k, unnest([a, -top.p]), unnest([-top.p, b]) from (
+  select s.k, s.a, s.b, max({{{{'d': {away}, 'p': -p.pos}}}}) as top, max(p.tol) as tol
+  from spans s join {source} p on p.k = s.k and p.pos > s.a and p.pos < s.b
+   join {source} u on u.k = s.k and u.pos = s.a join {source} w on w.k = s.k and w.pos = s.b
+  group by s.k, s.a, s.b) split where top.d > tol
+), kept as (
+ select {source}.* from {source} join (
+  select k, a as pos from spans union select k, b from spans
+  union select k, pos from {source} where k not in (select k from spans)
+ ) ends using (k, pos)
+)"""
+
+
+@query("f17_simplify_rings", f"""
+with recursive {_POINTS}, src as (select cast(ring as varchar) as k, ring, pos, x, y, {TOLERANCE}e0 as tol from pts),
+{_kept_sql('src')}, steps as (
+ select ring, pos, x, x * lead(y) over w - lead(x) over w * y as step from kept window w as (partition by ring order by pos)
+)
+select ring, cast(count(*) as int) as points, round(abs(coalesce(sum(step), 0)) / 2, 4) as area,
+ string_agg(printf('%.4f', x), ' ' order by pos) as xs from steps group by ring
+""")
 def f17_simplify(v):
-    """Rings after simplification; checked against a plain recursion in the tests."""
+    """Rings after simplification."""
     simple = B.simplify_rings(rings(v), TOLERANCE)
     return simple.select(
         "ring",
@@ -132,14 +166,32 @@ def _f18(v):
     )
 
 
-@query("f19_build_levels")
+_SPECS = ", ".join(f"('{a}', '{b}', {t}e0, {m}e0, {d})" for a, b, t, m, d in K.LEVEL_SPECS)
+_BUILT = f"""
+with recursive {_LEVELLED}, specs(layer, level, tol, min_area, decimals) as (values {_SPECS}), src as (
+ select feature || ':' || polygon || ':' || ring_index || ':' || layer || ':' || level as k, p.*, layer, level, tol,
+  decimals from part_points p join sized s using (feature, polygon, ring_index)
+  join areas r using (feature, polygon, ring_index) join specs on s.n >= 4 and (ring_index > 0 or r.area >= min_area)
+), {_kept_sql('src')}, built as (
+ select feature, case when label % 2 = 1 then 'L' || label else '-99' end as iso,
+  'Ring ' || cast(feature as varchar) as name, layer, level, polygon, ring_index, decimals, count(*) as n,
+  cast(sum(round(round_even(x, decimals) * 10000) + round(round_even(y, decimals) * 10000)) as bigint) as total from kept group by all having count(*) >= 4
+)"""
+
+
+@query("f19_build_levels", f"""
+{_BUILT}
+select feature, iso, name, layer, level, polygon, ring_index, cast(2 * n as int) as numbers, total from built
+""")
 def f19_levels(v):
-    """Every feature at all six levels; checked against a plain loop in the tests."""
+    """Every feature at all six levels."""
     built = B.build_levels(features(v))
     return built.select(
         "feature", "iso", "name", "layer", "level", "polygon", "ring_index",
         F.size("flat").alias("numbers"),
-        F.round(F.aggregate("flat", F.lit(0.0), lambda total, value: total + value), 2).alias("total"),
+        F.aggregate(
+            "flat", F.lit(0).cast("bigint"), lambda total, value: total + F.round(value * 10000).cast("bigint")
+        ).alias("total"),
     )
 
 

@@ -308,17 +308,18 @@ def _s7(v):
 
 
 _BROKEN = """
-select id, ident, case when icao_code = 'BUILDING' and elevation_ft > 8000 then 'spaceship' else type end as type,
- name, case when elevation_ft < 0 then null else latitude_deg end as latitude_deg, longitude_deg,
- icao_code = 'FURNITURE' as bad_longitude, elevation_ft, iso_country,
- case when icao_code <> 'MACHINERY' then municipality end as municipality, name_zh
+select * replace (case when icao_code = 'BUILDING' and elevation_ft > 8000 then 'spaceship' else type end as type,
+  case when elevation_ft < 0 then null else latitude_deg end as latitude_deg,
+  case when icao_code <> 'MACHINERY' then municipality end as municipality,
+  -- Its digits stand before an empty value, so the line below writes them as a number, which is no text.
+  cast(null as varchar(9)) as iata_code),
+ icao_code = 'FURNITURE' as bad_longitude
 from {named}
 """
 
 
 @query("s8_parse_published", f"""
-select id, ident, type, name, latitude_deg, longitude_deg, elevation_ft, iso_country, municipality, name_zh
-from ({_BROKEN}) where type <> 'spaceship' and latitude_deg is not null and not bad_longitude
+select {', '.join(K.PUBLISHED_FIELDS)} from ({_BROKEN}) where type <> 'spaceship' and latitude_deg is not null and not bad_longitude
 """)
 def _s8(v):
     """Published arrays with unknown types, missing and wrongly typed values, read back."""
@@ -344,15 +345,4 @@ def _s8(v):
         F.replace("value", F.concat(F.lit('"'), "municipality", F.lit('"')), F.col("_city")),
     ).otherwise(F.col("value"))
     rows = P.parse_published(lines.select(swapped.alias("value")), list(K.PUBLISHED_FIELDS))
-    return rows.select(
-        "id",
-        "ident",
-        "type",
-        "name",
-        "latitude_deg",
-        "longitude_deg",
-        "elevation_ft",
-        "iso_country",
-        "municipality",
-        "name_zh",
-    )
+    return rows.select(*K.PUBLISHED_FIELDS)

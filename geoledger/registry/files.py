@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from geoledger import constants as K
 from geoledger.operators import merge as M
+from geoledger.operators import quality as Q
 from geoledger.plans import collect as C
 from geoledger.plans import publish as PB
 from geoledger.plans import resolve as RS
-from geoledger.registry import match, query, state
+from geoledger.registry import boundary, match, query, state
 from geoledger.registry.boundary import features
+from geoledger.registry.quality import REJECTS
 from geoledger.session import ensure_checkpoint_dir
 from geoledger.sources import geojson as GJ
 from geoledger.sources import names as N
@@ -46,6 +48,7 @@ def snapshot_file(v, name: str = "places") -> tuple[SparkSession, str, str]:
 
 
 _SOURCE = ", ".join(K.SOURCE_COLUMNS)
+_ATTACHED = ", ".join(f"n.{name} as {name}" for name in K.ATTACHED_NAME_COLUMNS)
 
 
 @query("s1_read_snapshot", f"select {_SOURCE} from {{places}}")
@@ -55,22 +58,38 @@ def s1(v):
     return C.checked_snapshot(spark, path)
 
 
-@query("s1_read_snapshot_rejects", """
-select count(*) as rows, count(*) filter (where trim(ident) = '') as blank_idents from {raw_places}
+@query("s1_read_snapshot_rejects", f"""
+select trim(raw_id) as raw_id, ident, reason from ({REJECTS.strip()}) r
 """)
 def _s1_raw(v):
+    """Raw rows written as CSV and read; those that break a rule, with the reason."""
     spark, _, path = snapshot_file(v, "raw_places")
-    raw = read_snapshot(spark, path)
-    return raw.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.coalesce(F.trim("ident"), F.lit("")) == "").alias("blank_idents"),
-    )
+    rejects = Q.validate_rows(read_snapshot(spark, path).drop("_bad"))[1]
+    return rejects.select(F.trim("raw_id").alias("raw_id"), "ident", "reason")
+
+
+_LINE = "cast(doc_id as varchar) || chr(9) || source || chr(9) || lang"
 
 
-@query("s2_snapshot_meta")
+@query("s2_snapshot_meta", f"""
+with lines as (select source, {_LINE} as line from {{documents}}),
+sums as (
+ select source, count(*) as n, sum(length(line) + 1) as bytes,
+  sum(('0x' || substr(md5(line), 1, 15))::bigint) as a, sum(('0x' || substr(md5(line), 17, 15))::bigint) as b
+ from lines group by source
+)
+select source, cast(bytes as bigint) as bytes, sha256(n || ':' || a || ':' || b) as sha256 from sums
+""")
 def _s2(v):
-    spark, _, path = snapshot_file(v)
-    return snapshot_meta(spark, path).select(F.col("bytes"), "sha256")
+    """Documents written as lines, one file for each source; bytes and digest of every file."""
+    documents = v("documents")
+    spark = documents.sparkSession
+    path = f"{scratch(spark)}/lines"
+    line = F.concat_ws("\t", F.col("doc_id").cast("string"), "source", "lang")
+    rows = documents.select(F.col("source").alias("part"), line.alias("value"))
+    rows.repartition("part").write.partitionBy("part").text(path)
+    source = F.regexp_extract("path", "/part=([^/]*)/", 1).alias("source")
+    return snapshot_meta(spark, f"{path}/part=*").select(source, "bytes", "sha256")
 
 
 _NAME_LIST = ", ".join(K.NAME_COLUMNS)
@@ -84,16 +103,19 @@ def _s3(v):
     return N.read_names(names.sparkSession, path)
 
 
-@query("s4_write_names", """
-select id, coalesce(name_zh, '') as name_zh, coalesce(municipality, '') as municipality from {names}
-""")
+_BLANK_NAMES = ", ".join(f"coalesce({name}, '') as {name}" for name in K.NAME_COLUMNS if name != "id")
+
+
+@query("s4_write_names", f"select id, {_BLANK_NAMES} from {{names}}")
 def _s4(v):
     names = v("names")
     path = f"{scratch(names.sparkSession)}/names"
     N.write_names(names, path)
     written = names.sparkSession.read.option("header", True).option("escape", '"').csv(path)
     blank = lambda name: F.coalesce(name, F.lit("")).alias(name)
-    return written.select(F.col("id").cast("bigint").alias("id"), blank("name_zh"), blank("municipality"))
+    return written.select(
+        F.col("id").cast("bigint").alias("id"), *[blank(name) for name in K.NAME_COLUMNS if name != "id"]
+    )
 
 
 @query("s5_archive", """
@@ -154,29 +176,18 @@ after as (
 
 @query("m5_collect_job", f"""
 {_JOB}
-select id, name, latitude_deg, name_zh, seen as is_active,
+select p.* replace (b.name as name), {', '.join(f"case when seen then n.{name} end as {name}" for name in K.ATTACHED_NAME_COLUMNS)},
+ case when seen and n.name_zh is not null then {_SECOND} end as name_zh_updated_at, seen as is_active,
  case when known then {_FIRST} else {_SECOND} end as first_seen_at,
  case when seen then {_SECOND} else {_FIRST} end as last_seen_at,
  case when not seen then {_SECOND} end as deactivated_at,
- case when changed or not known or not seen then {_SECOND} else {_FIRST} end as updated_at
-from both_sides
+ case when changed or not known or not seen then {_SECOND} else {_FIRST} end as updated_at,
+ case when seen then {_SECOND} else {_FIRST} end as source_snapshot_at
+from both_sides b join {{places}} p using (id) left join {{names}} n on n.id = b.id
 """)
 def _m5(v):
     """Two runs of the real job over CSV files: one without names, then a changed one with names."""
-    state_table = collected(v)
-    return state._plain(
-        state_table.read().select(
-            "id",
-            "name",
-            "latitude_deg",
-            "name_zh",
-            "is_active",
-            "first_seen_at",
-            "last_seen_at",
-            "deactivated_at",
-            "updated_at",
-        )
-    )
+    return state._plain(collected(v).read().select(*[c for c in K.STATE_COLUMNS if c != "row_hash"]))
 
 
 def two_snapshots(v) -> tuple[SparkSession, str, str, str]:
@@ -217,18 +228,22 @@ def _m5_runs(v):
     )
 
 
-@query("m6_stage_check", "select count(*) as rows, count(distinct ident) as idents from {places}")
+@query("m6_stage_check", f"""
+select p.*, {_ATTACHED}, true as is_active, {_FIRST} as first_seen_at, {_FIRST} as last_seen_at, {_FIRST} as updated_at,
+ {_FIRST} as source_snapshot_at from {{places}} p left join {{names}} n on n.id = p.id
+""")
 def _m6(v):
     """A version is written aside, counted and checked for unique idents before it may be read."""
     rows = C.incoming_rows(v("places"), v("names"))
     table = StateTable(rows.sparkSession, f"{scratch(rows.sparkSession)}/state")
     staged = table.stage(1, rows)
     table.write_version(1, M.merge_with_changes(table.read(), staged, FIRST_AT), staged.count())
-    return table.read(1).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("ident").alias("idents"))
+    times = ("first_seen_at", "last_seen_at", "updated_at", "source_snapshot_at")
+    return state._plain(table.read(1).select(*K.SOURCE_COLUMNS, *K.ATTACHED_NAME_COLUMNS, "is_active", *times))
 
 
-@query("m5_collect_frames", """
-select id, ident, name, name_zh, true as is_active from {named}
+@query("m5_collect_frames", f"""
+select p.*, {_ATTACHED}, true as is_active from {{places}} p left join {{names}} n on n.id = p.id
 """)
 def _m5_frames(v):
     """The job's plan without files: rules, names, hash and merge into an empty state."""
@@ -236,7 +251,7 @@ def _m5_frames(v):
     raw = places.select(*[F.col(name).cast("string").alias(name) for name in K.SOURCE_COLUMNS])
     empty = places.sparkSession.createDataFrame([], STATE_SCHEMA)
     merged = C.collect_frames(empty, raw, v("names"), FIRST_AT)
-    return merged.select("id", "ident", "name", "name_zh", "is_active")
+    return merged.select(*K.SOURCE_COLUMNS, *K.ATTACHED_NAME_COLUMNS, "is_active")
 
 
 @query("m10_refresh_job", f"{match._REPLIED} {match._COUNTERS} from final")
@@ -276,20 +291,38 @@ def _s9(v):
     return read.select("kind", F.col("properties")["name"].alias("name"))
 
 
-@query("s10_write_boundary_level")
+@query("s10_write_boundary_level", f"""
+{boundary._BUILT}
+select layer, level, count(distinct feature) as features, count(*) as rings, cast(sum(n) as bigint) as points,
+ any_value(s.tol) as tolerance, any_value(s.min_area) as min_area, any_value(s.decimals) as decimals,
+ 'embeddings' as source, true as compressed from built join specs s using (layer, level) group by layer, level
+""")
 def _s10(v):
+    """All levels written; their counts, settings and whether the files are smaller than their lines."""
     from geoledger.operators.boundaries import build_levels
 
     shapes = features(v)
-    return GJ.write_boundary_level(build_levels(shapes), f"{scratch(shapes.sparkSession)}/levels")
+    path = f"{scratch(shapes.sparkSession)}/levels"
+    manifest = GJ.write_boundary_level(build_levels(shapes), path, source="embeddings")
+    return manifest.withColumn("compressed", F.col("stored_bytes") < F.col("raw_bytes")).drop(
+        "path", "raw_bytes", "stored_bytes", "attribution"
+    )
 
 
-@query("s11_run_pending", f"{_JOB} select id, name, seen as is_active from both_sides")
+@query("s11_run_pending", f"""
+{_JOB}
+select p.* replace (b.name as name), seen as is_active, {_ATTACHED}
+from both_sides b join {{places}} p using (id) left join {{names}} n on n.id = b.id
+""")
 def _s11(v):
-    """Two snapshots wait in a landing folder; the stream collects them one after the other."""
+    """After a run by hand two snapshots and a broken one between them wait in a landing folder."""
     spark, root, before, after = two_snapshots(v)
     table = StateTable(spark, f"{root}/state")
+    broken = write_csv(v("raw_places").select(*K.SOURCE_COLUMNS), f"{root}/broken")
+    limits = {"min_rows": 1, "min_large": 1}
+    C.collect_job(spark, before, table, snapshot_at=FIRST_AT, allow_missing_names=True, **limits)
     announce(spark, f"{root}/landing", "first", before, FIRST_AT)
+    announce(spark, f"{root}/landing", "middle", broken, SECOND_AT)
     announce(spark, f"{root}/landing", "second", after, SECOND_AT)
     stream = run_pending(
         spark,
@@ -301,4 +334,4 @@ def _s11(v):
         min_large=1,
     )
     stream.awaitTermination()
-    return table.read().select("id", "name", "is_active")
+    return table.read().select(*K.SOURCE_COLUMNS, "is_active", *K.ATTACHED_NAME_COLUMNS)

@@ -72,25 +72,31 @@ def _p2(v):
     )
 
 
+def _typed(name: str) -> str:
+    value = {
+        "id": f"cast(trim(id, {_WS}) as bigint)",
+        "elevation_ft": f"cast(trunc({_double('elevation_ft')}) as int)",
+    }.get(name, _double(name) if name.endswith("_deg") else _clean(name))
+    return f"{value} as {name}"
+
+
 @query("p3_validate_good", f"""
-select cast(trim(id, {_WS}) as bigint) as id, {_clean('ident')} as ident, {_clean('type')} as type,
- {_clean('name')} as name, {_double('latitude_deg')} as latitude_deg,
- cast(trunc({_double('elevation_ft')}) as int) as elevation_ft, {_clean('continent')} as continent,
- {_clean('municipality')} as municipality
+select {', '.join(_typed(name) for name in K.SOURCE_COLUMNS)}
 from (select *, {_REASON} as reason from {{raw_places}}) where reason is null
 """)
 def _p3_good(v):
     good, _ = Q.validate_rows(v("raw_places"))
-    return good.select(
-        "id", "ident", "type", "name", "latitude_deg", "elevation_ft", "continent", "municipality"
-    )
+    return good.select(*K.SOURCE_COLUMNS)
 
 
-@query("p3_validate_rejects", f"""
+REJECTS = f"""
 select raw_id, ident, reason from (
  select id as raw_id, {_clean('ident')} as ident, {_REASON} as reason from {{raw_places}}
 ) where reason is not null
-""")
+"""
+
+
+@query("p3_validate_rejects", REJECTS)
 def _p3_rejects(v):
     return Q.validate_rows(v("raw_places"))[1]
 

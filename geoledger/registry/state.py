@@ -166,19 +166,19 @@ def _w5(v):
 with ends as (
  select user_id as run_id, max(ts) filter (where event_type = 'purchase') as ok_at,
   max(ts) filter (where event_type = 'error') as bad_at,
-  min(ts) filter (where event_type = 'click') as started_at, max(value) as rows_total
- from {events} where event_type in ('click', 'purchase', 'error') group by user_id
+  min(ts) filter (where event_type not in ('purchase', 'error')) as started_at, max(value) as rows_total
+ from {events} group by user_id
 )
 select run_id, case when ok_at is null and bad_at is null then 'running'
  when bad_at is null or ok_at > bad_at then 'succeeded' else 'failed' end as status, started_at,
  greatest(ok_at, bad_at) as finished_at, rows_total from ends
 """)
 def _m4(v):
-    """Runs folded from their events: clicks start a run, purchases and errors end it."""
+    """Runs folded from all their events: purchases and errors end a run, the others are in it."""
     status = (
-        F.when(F.col("event_type") == "click", "running")
-        .when(F.col("event_type") == "purchase", "succeeded")
+        F.when(F.col("event_type") == "purchase", "succeeded")
         .when(F.col("event_type") == "error", "failed")
+        .otherwise("running")
     )
     events = v("events").select(
         F.col("user_id").alias("run_id"),
@@ -186,4 +186,4 @@ def _m4(v):
         status.alias("status"),
         F.col("value").alias("rows_total"),
     )
-    return _plain(run_log(events.where(F.col("status").isNotNull())))
+    return _plain(run_log(events))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoledger import constants as K
-from geoledger.operators.boundaries import level_stats
+from geoledger.operators.boundaries import LevelSpec, level_stats
 from geoledger.operators.quality import DataRejected
 
 _FEATURE = (
@@ -40,11 +42,32 @@ def read_geojson(spark: SparkSession, path: str, lines: bool = False) -> DataFra
     )
 
 
-def write_boundary_level(rings: DataFrame, path: str) -> DataFrame:
-    """Gzip JSON lines per layer and level under `path`; returns the manifest rows."""
+def write_boundary_level(
+    rings: DataFrame, path: str, specs: Sequence[LevelSpec] = K.LEVEL_SPECS, source: str | None = None
+) -> DataFrame:
+    """Gzip JSON lines per layer and level under `path`; returns the manifest rows.
+
+    A row has the counts of a level, its settings, its folder, where it came from, and the bytes of
+    its lines before and after compression.
+    """
     rings.write.mode("overwrite").partitionBy("layer", "level").json(path, compression="gzip")
-    written = rings.sparkSession.read.schema(
+    spark = rings.sparkSession
+    written = spark.read.schema(
         "feature bigint, iso string, name string, polygon int, ring_index int, flat array<double>, "
         "layer string, level string"
     ).json(path)
-    return level_stats(written).withColumn("attribution", F.lit(K.BOUNDARY_ATTRIBUTION))
+    settings = spark.createDataFrame(
+        [tuple(spec) for spec in specs], "layer string, level string, tolerance double, min_area double, decimals int"
+    )
+    levels = ["layer", "level"]
+    raw = spark.read.text(path).groupBy(*levels).agg(F.sum(F.octet_length("value") + 1).alias("raw_bytes"))
+    stored = spark.read.format("binaryFile").load(path).groupBy(*levels).agg(F.sum("length").alias("stored_bytes"))
+    folder = F.concat(F.lit(f"{path}/layer="), "layer", F.lit("/level="), "level")
+    return (
+        level_stats(written)
+        .join(settings, levels)
+        .join(raw, levels)
+        .join(stored, levels)
+        .select("*", folder.alias("path"), F.lit(source).cast("string").alias("source"))
+        .withColumn("attribution", F.lit(K.BOUNDARY_ATTRIBUTION))
+    )

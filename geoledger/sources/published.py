@@ -134,8 +134,10 @@ def parse_published(lines: DataFrame, fields: list[str] | None = None) -> DataFr
         return F.when(F.abs(parsed) < F.lit(float("inf")), parsed)
 
     columns = {name: number(name) if name in K.PUBLISHED_NUMBERS else text(name) for name in K.PUBLISHED_FIELDS}
-    columns["id"] = columns["id"].try_cast("bigint")
-    columns["elevation_ft"] = columns["elevation_ft"].try_cast("int")
+    # Whole numbers keep all their digits; only fractional kinds go through a double.
+    for name, kind in (("id", "bigint"), ("elevation_ft", "int")):
+        whole = F.when(cell(name)["kind"] == "BIGINT", cell(name)["shown"].try_cast(kind))
+        columns[name] = F.coalesce(whole, columns[name].try_cast(kind))
     rows = typed.select(*[column.alias(name) for name, column in columns.items()])
     complete = F.col("type").isin(*K.PLACE_TYPES)
     for name in K.PUBLISHED_REQUIRED:

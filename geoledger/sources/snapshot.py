@@ -13,8 +13,6 @@ from geoledger import constants as K
 from geoledger.operators.quality import DataRejected
 
 _BAD = "_bad"
-# binaryFile holds a file in one value, so larger files get a digest that is built from lines.
-WHOLE_FILE_LIMIT = 256 * 1024 * 1024
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
@@ -37,9 +35,17 @@ def check_header(header: Sequence[str], columns: Sequence[str]) -> list[str]:
 
 
 def read_raw(
-    spark: SparkSession, path: str, header: Sequence[str], multi_line: bool = True
+    spark: SparkSession, path: str, header: Sequence[str], multi_line: bool = False
 ) -> DataFrame:
-    """CSV rows as text under the given header cells, with the broken line in `_bad`."""
+    """CSV rows as text under the given header cells, with the broken line in `_bad`.
+
+    Spark splits the files at line breaks, so one inside quotes is refused instead of breaking rows.
+    """
+    if not multi_line:
+        # A field with a line break leaves an odd number of quotation marks on its first line.
+        marks = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+        if not spark.read.text(path).where(marks % 2 == 1).isEmpty():
+            raise DataRejected(f"{path} has a line break inside quotes; read it with multi_line=True")
     schema = S.StructType(
         [S.StructField(name, S.StringType()) for name in header] + [S.StructField(_BAD, S.StringType())]
     )
@@ -61,13 +67,12 @@ def read_snapshot(
     spark: SparkSession,
     path: str,
     columns: Sequence[str] = K.SOURCE_COLUMNS,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Text columns of a snapshot by name, plus `_bad` with the text of a ragged row.
 
     Every file of a folder must carry the first file's header. Blank rows are dropped whatever
-    their number of cells. Files whose fields hold no line breaks may set `multi_line` to False,
-    which lets Spark split them.
+    their number of cells. `multi_line` reads fields with line breaks, each file in one task.
     """
     header = read_header(spark, path)
     names = check_header(header, columns)
@@ -85,33 +90,30 @@ def ragged_rows(snapshot: DataFrame) -> DataFrame:
     return snapshot.where(F.col(_BAD).isNotNull()).select(F.col(_BAD).alias("line"))
 
 
-def snapshot_meta(
-    spark: SparkSession, path: str, whole_file_limit: int = WHOLE_FILE_LIMIT
-) -> DataFrame:
-    """(path, bytes, sha256) per file.
+#: Name of the digest rule, to be kept beside digests.
+DIGEST_RULE = "line-sums-1"
 
-    A file above the limit is never held in one value: its digest covers the number of its lines
-    and the sums of their hashes, which Spark computes over file splits.
+
+def snapshot_meta(spark: SparkSession, path: str) -> DataFrame:
+    """(path, bytes, sha256) per file, by one rule for files of any size.
+
+    The digest covers the number of a file's lines and two sums of their hashes, which Spark
+    computes over file splits; no file is ever one value. Empty files have no row.
     """
-    files = spark.read.format("binaryFile").load(path)
-    small = files.where(F.col("length") <= whole_file_limit).select(
-        "path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
-    )
-    large = files.where(F.col("length") > whole_file_limit).select(
-        "path", F.col("length").alias("bytes")
+    files = (
+        spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"))
     )
-    if large.isEmpty():
-        return small
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"))
-    digests = lines.groupBy("path").agg(_sum_digest("value").alias("sha256"))
-    return small.unionByName(large.join(digests, "path"))
+    digests = lines.groupBy("path").agg(_line_sums("value").alias("sums"))
+    joined = files.join(digests, "path")
+    return joined.select("path", "bytes", F.sha2("sums", 256).alias("sha256"))
 
 
-def _sum_digest(column: str) -> Column:
-    """Aggregate digest of a column's values in any order: their number and two sums of hashes."""
-    sums = [F.sum(F.xxhash64(column, F.lit(seed)).cast("decimal(20,0)")) for seed in (1, 2)]
-    parts = [F.count(F.lit(1)), *sums]
-    return F.sha2(F.concat_ws(":", *[part.cast("string") for part in parts]), 256)
+def _line_sums(column: str) -> Column:
+    """The number of values and the sums of two parts of their hashes, whatever their order."""
+    parts = [F.conv(F.substring(F.md5(F.col(column)), at, 15), 16, 10).cast("decimal(20,0)") for at in (1, 17)]
+    sums = [F.coalesce(F.sum(part).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)")) for part in parts]
+    return F.concat_ws(":", F.count(F.lit(1)).cast("string"), *[x.cast("string") for x in sums])
 
 
 def source_digest(meta: DataFrame) -> DataFrame:
@@ -119,6 +121,6 @@ def source_digest(meta: DataFrame) -> DataFrame:
     return meta.agg(
         F.sum("bytes").alias("source_bytes"),
         F.when(F.count(F.lit(1)) == 1, F.max("sha256"))
-        .otherwise(_sum_digest("sha256"))
+        .otherwise(F.sha2(_line_sums("sha256"), 256))
         .alias("source_sha256"),
     )

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
@@ -59,6 +61,7 @@ RUN_SCHEMA = S.StructType(
         S.StructField("rows_named_targets", S.LongType()),
         S.StructField("rows_missing_zh", S.LongType()),
         S.StructField("error_message", S.StringType()),
+        S.StructField("snapshot_key", S.StringType()),
     ]
 )
 
@@ -79,13 +82,50 @@ def run_log(events: DataFrame) -> DataFrame:
 class StateTable:
     """Versions under `root/data`, staged snapshots under `root/staging`, run events under `root/runs`.
 
-    A version is written beside the others and counts only once its run has logged success, which
-    is one small append. A version that lost its run is never read.
+    A version is written to a folder of its own run. It becomes visible by its marker under `root/versions`, a small
+    file that names the folder and the snapshot and is moved to a place that must be free. Of two writers that made
+    the same version one gets the place; the other starts again from the version that won. A folder without a marker
+    is never read.
     """
 
     spark: SparkSession
     root: str
 
+    def _claim(self, kind: str, number: int, content: str) -> bool:
+        """Put a file at a numbered place, unless the place is taken."""
+        jvm = self.spark._jvm
+        fs, options = jvm.org.apache.hadoop.fs, self.spark._jsc.hadoopConfiguration()
+        place = fs.Path(f"{self.root}/{kind}/{number:012d}")
+        draft = fs.Path(f"{self.root}/{kind}/.draft-{uuid.uuid4().hex}")
+        system = place.getFileSystem(options)
+        out = system.create(draft, True)
+        out.write(bytearray(content.encode()))
+        out.close()
+        context = fs.FileContext.getFileContext(system.getUri(), options)
+        never = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            context.rename(system.makeQualified(draft), system.makeQualified(place), never)
+        except Py4JJavaError as error:
+            system.delete(draft, False)
+            if "FileAlreadyExistsException" in str(error.java_exception):
+                return False
+            raise
+        return True
+
+    def _last(self, kind: str) -> int:
+        """The highest number taken, 0 for none."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}")
+        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in system.listStatus(folder)] if system.exists(folder) else []
+        return max((int(name) for name in names if name.isdigit()), default=0)
+
+    def markers(self) -> DataFrame:
+        """(folder, snapshot_key) of all versions."""
+        schema = "folder string, snapshot_key string"
+        if not self._last("versions"):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("sep", "\t").csv(f"{self.root}/versions")
+
     def events(self) -> DataFrame:
         path = f"{self.root}/runs"
         if not path_exists(self.spark, path):
@@ -107,15 +147,25 @@ class StateTable:
         )
 
     def next_run_id(self) -> int:
-        return (self.events().agg(F.max("run_id")).first()[0] or 0) + 1
+        """A run number that no other run has, also not one that starts at the same time."""
+        number = max(self._last("numbers"), self.events().agg(F.max("run_id")).first()[0] or 0) + 1
+        while not self._claim("numbers", number, ""):
+            number += 1
+        return number
 
     def version(self) -> int | None:
-        """The version of the last run that succeeded."""
-        return self.events().where("status = 'succeeded'").agg(F.max("version")).first()[0]
+        """The last visible version."""
+        return self._last("versions") or None
 
     def succeeded(self, run_id: int) -> bool:
         return not self.events().where(F.col("run_id") == run_id).where("status = 'succeeded'").isEmpty()
 
+    def took(self, snapshot_key: str) -> bool:
+        """Whether a version was made from this snapshot, or its rows were refused."""
+        if not self.markers().where(F.col("snapshot_key") == snapshot_key).isEmpty():
+            return True
+        return not self.events().where((F.col("snapshot_key") == snapshot_key) & (F.col("status") == "refused")).isEmpty()
+
     def read(self, version: int | None = None) -> DataFrame:
         version = self.version() if version is None else version
         if version is None:
@@ -141,15 +191,27 @@ class StateTable:
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def write_folder(self, folder: str, merged: DataFrame, expected_rows: int) -> None:
+        """Write the rows of a version to a folder and check them before anyone may read them."""
+        path = f"{self.root}/data/{folder}"
+        merged.select(*K.STATE_COLUMNS, *CHANGE_COLUMNS).write.mode("overwrite").parquet(path)
+        rows = self.spark.read.parquet(path)
+        stage_check(rows.select(*K.STATE_COLUMNS), rows.select(*CHANGE_COLUMNS), expected_rows)
+
+    def commit(self, version: int, folder: str, snapshot_key: str = "") -> bool:
+        """Make a written folder the given version, unless another writer did so first."""
+        return self._claim("versions", version, f"{folder}\t{snapshot_key}\n")
+
     def write_version(self, version: int, merged: DataFrame, expected_rows: int) -> None:
-        """Write a version and check it before anyone may read it."""
-        merged.select(*K.STATE_COLUMNS, *CHANGE_COLUMNS).write.mode("overwrite").parquet(
-            self._data(version)
-        )
-        stage_check(self.read(version), self.changes(version), expected_rows)
+        """Write, check and commit a version."""
+        folder = f"write-{uuid.uuid4().hex}"
+        self.write_folder(folder, merged, expected_rows)
+        if not self.commit(version, folder):
+            raise DataRejected(f"version {version} was made by another writer")
 
     def _data(self, version: int) -> str:
-        return f"{self.root}/data/v={version:08d}"
+        marker = self.spark.read.text(f"{self.root}/versions/{version:012d}").first()["value"]
+        return f"{self.root}/data/{marker.split(chr(9))[0]}"
 
 
 def stage_check(state: DataFrame, changes: DataFrame, expected_rows: int) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from geoledger import constants as K
+from geoledger.operators.quality import DataRejected
 from geoledger.plans.collect import collect_job
 from geoledger.sources.state import StateTable
 
@@ -47,13 +48,16 @@ def run_pending(
     allow_missing_names: bool = False,
     min_rows: int = K.MIN_ROWS,
     min_large: int = K.MIN_LARGE,
+    multi_line: bool = False,
 ) -> StreamingQuery:
     """Take the waiting snapshots in the order of their file times, one per micro-batch.
 
     A landed file is a snapshot (`.csv`) or a note that names a snapshot folder (`.path`). The
-    stream carries file names only; each batch hands one snapshot to the collection job. The batch
-    number gives the run number, so a batch that is retried finds its success logged and does
-    nothing. The snapshot time comes from the file, so a replay gives the same state.
+    stream carries file names only; each one is handed to the collection job under a key of its own:
+    the landed file, its time, the snapshot and its time. A batch that is retried finds the keys it
+    has dealt with and goes on behind them, whatever other runs there were. A snapshot that breaks a
+    rule is logged as refused and the next one is taken; any other failure stops the stream, and the
+    next start tries that snapshot again.
     """
     arrivals = (
         spark.readStream.format("binaryFile")
@@ -65,19 +69,32 @@ def run_pending(
     )
 
     def collect(batch: DataFrame, batch_id: int) -> None:
-        for row in batch.limit(1).collect():
+        # One file a batch, as the source is told; the loop does not depend on it.
+        for row in batch.orderBy("modificationTime", "path").collect():
             path, at = arrival(spark, row)
-            collect_job(
-                spark,
-                path,
-                state,
-                names_path,
-                snapshot_at=at,
-                run_id=batch_id + 1,
-                allow_missing_names=allow_missing_names,
-                min_rows=min_rows,
-                min_large=min_large,
-            )
+            key = "|".join([row["path"], row["modificationTime"].isoformat(), path, at.isoformat()])
+            try:
+                collect_job(
+                    spark,
+                    path,
+                    state,
+                    names_path,
+                    snapshot_at=at,
+                    snapshot_key=key,
+                    allow_missing_names=allow_missing_names,
+                    min_rows=min_rows,
+                    min_large=min_large,
+                    multi_line=multi_line,
+                )
+            except DataRejected as error:
+                state.log(
+                    state.next_run_id(),
+                    datetime.now(timezone.utc),
+                    "refused",
+                    source_url=path,
+                    snapshot_key=key,
+                    error_message=f"{type(error).__name__}: {error}",
+                )
 
     return (
         arrivals.writeStream.foreachBatch(collect)

@@ -154,3 +154,16 @@ def test_registered_levels_against_a_loop(spark):
     got = f19_levels(v).select("feature", "layer", "level", "polygon", "ring_index", "numbers")
     assert {tuple(r) for r in got.collect()} == expected
     assert got.agg(F.count_distinct("layer", "level")).first()[0] == 6
+
+
+def test_levels_round_to_the_decimals_of_their_spec(spark):
+    ring = [[0.123456, 0.0], [10.123456, 0.0], [10.0, 10.123456], [0.0, 10.0], [0.123456, 0.0]]
+    shape = spark.createDataFrame(
+        [(1, {"NAME": "a"}, "Polygon", json.dumps([ring]))],
+        "feature long, properties map<string,string>, kind string, coordinates string",
+    )
+    specs = [("x", "one", 0.0, 0.0, 1), ("x", "five", 0.0, 0.0, 5)]
+    got = {r["level"]: r["flat"] for r in B.build_levels(shape, specs).collect()}
+    assert got["one"][0] == 0.1 and got["five"][0] == 0.12346
+    with pytest.raises(Exception, match="no such scale"):
+        spark.range(1).select(B.quantise(F.array(F.struct(F.lit(1.0).alias("x"), F.lit(1.0).alias("y"))), F.col("id").cast("int"), [3])).collect()

@@ -5,7 +5,7 @@ import random
 from datetime import datetime, timezone
 
 import pytest
-from conftest import csv_text, four_rows, row
+from conftest import csv_text, mixed_rows, row
 from pyspark.sql import functions as F
 
 from geoledger import constants as K
@@ -48,12 +48,12 @@ def test_filters(places):
     assert idents(E.filter_places(df, state(scheduled_only=True))) == ["KJFK", "ZBAA"]
     assert idents(E.filter_places(df, state(query="首都 PEK"))) == ["ZBAA"]
     assert idents(E.filter_places(df, state(query="kennedy"))) == []
-    assert idents(E.search(df, " zbaa　test ")) == ["ZBAA"]
+    assert idents(E.search(df, " zbaa　municipality ")) == ["ZBAA"]
     assert {r["type"]: r["places"] for r in E.count_by_type(df).collect()} == {
         "large_airport": 3, "medium_airport": 0, "small_airport": 1, "heliport": 1, "seaplane_base": 0,
         "balloonport": 0, "closed": 1,
     }
-    assert [(r[0], r[1]) for r in E.top_countries(df, 1).collect()] == [("CN", 5)]
+    assert [(r[0], r[1]) for r in E.top_countries(df, 1).collect()] == [("PG", 5)]
     assert [r[0] for r in E.top_countries(df, 5, " u").collect()] == ["US"]
     assert idents(E.lod_filter(df)) == ["KJFK", "ZBAA", "ZZZ"]
 
@@ -123,12 +123,12 @@ def test_filter_table_against_single_filters(spark, places):
 def test_display(spark, places):
     df = named(places, [row(), row(id=2, ident="B", municipality="", iso_country="")], [1])
     zh = {r["id"]: r for r in E.display_names(df, "zh-CN").collect()}
-    assert (zh[1]["primary_name"], zh[1]["secondary_name"], zh[1]["city_name"]) == ("北京首都", "Test International Airport", "北京首都")
-    assert (zh[2]["primary_name"], zh[2]["secondary_name"], zh[2]["city_name"]) == ("Test International Airport", None, None)
+    assert (zh[1]["primary_name"], zh[1]["secondary_name"], zh[1]["city_name"]) == ("北京首都", "name 1", "北京首都")
+    assert (zh[2]["primary_name"], zh[2]["secondary_name"], zh[2]["city_name"]) == ("name 2", None, None)
     en = {r["id"]: r for r in E.display_names(df, "en").collect()}
-    assert (en[1]["primary_name"], en[1]["secondary_name"], en[1]["city_name"]) == ("Test International Airport", "北京首都", "Testville")
-    labels = spark.createDataFrame([("CN", "China")], "code string, label string")
-    assert {r["id"]: r["country_label"] for r in E.country_label(df, labels).collect()} == {1: "China", 2: "—"}
+    assert (en[1]["primary_name"], en[1]["secondary_name"], en[1]["city_name"]) == ("name 1", "北京首都", "municipality 1")
+    labels = spark.createDataFrame([("PG", "Papua")], "code string, label string")
+    assert {r["id"]: r["country_label"] for r in E.country_label(df, labels).collect()} == {1: "Papua", 2: "—"}
     kinds = spark.createDataFrame([("wikidata:Q1:zh",), ("wikipedia:en:L>zh",), ("composite:x",), ("llm:m",), (None,), ("x",)], "s string")
     assert [r[0] for r in kinds.select(T.name_source_kind("s")).collect()] == [
         "authoritative", "authoritative", "composite", "llm", "unknown", "unknown"
@@ -219,7 +219,7 @@ def test_publish(spark, places, write, tmp_path):
 
     entries = names_of(spark, [{"id": 1, "name_zh": '测"试', "name_zh_source": "wikidata:Q1:zh-cn", "location_zh": "镇"}])
     write_names(entries, str(tmp_path / "names"))
-    path = write(csv_text(list(reversed(four_rows()))))
+    path = write(csv_text(list(reversed(mixed_rows()))))
     out = str(tmp_path / "out")
     manifest = publish_job(
         spark, path, str(tmp_path / "names"), out, generated_at=datetime(2026, 1, 1, tzinfo=timezone.utc), min_rows=1, min_large=1
@@ -234,7 +234,7 @@ def test_publish(spark, places, write, tmp_path):
     assert lines[0][list(K.PUBLISHED_FIELDS).index("name_zh")] == '测"试' and lines[1][14] is None
     back = P.read_published(spark, f"{out}/rows", f"{out}/manifest").orderBy("id").collect()
     assert [r["id"] for r in back] == [1, 2, 3, 4]
-    assert back[0]["location_zh"] == "镇" and back[0]["latitude_deg"] == 10.0 and back[0]["elevation_ft"] == 100
+    assert back[0]["location_zh"] == "镇" and back[0]["latitude_deg"] == 1.25 and back[0]["elevation_ft"] == 50
 
 
 def test_parse_published(spark):
@@ -246,13 +246,15 @@ def test_parse_published(spark):
         [4, "DDD", "closed", "Text coordinate", "10", 20, None, None],
         [5, "", "closed", "No ident", 10, 20, None, None],
         [6, "FFF", "closed", "Short", 10, 20],
+        [9007199254740993, "HUGE", "closed", "Beyond doubles", 10, 20],
+        [7.0, "GGG", "closed", "Whole fraction", 10, 20],
     ]
     lines = spark.createDataFrame([(json.dumps(r),) for r in rows] + [("oops",)], "value string")
     got = P.parse_published(lines, fields).collect()
-    assert [r["ident"] for r in got] == ["AAA", "FFF"]
+    assert [(r["id"], r["ident"]) for r in got] == [(1, "AAA"), (6, "FFF"), (9007199254740993, "HUGE"), (7, "GGG")]
     assert got[0]["longitude_deg"] == 20.5 and got[0]["keywords"] is None and got[0]["name_zh"] is None
     objects = spark.createDataFrame([(json.dumps(dict(zip(fields, r))),) for r in rows], "value string")
-    assert [r["ident"] for r in P.parse_published(objects).collect()] == ["AAA", "FFF"]
+    assert [r["ident"] for r in P.parse_published(objects).collect()] == ["AAA", "FFF", "HUGE", "GGG"]
 
 
 @pytest.mark.parametrize("version, fields", [(99, list(K.PUBLISHED_FIELDS)), (1, ["id", "name"])])

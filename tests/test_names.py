@@ -25,6 +25,11 @@ def one(spark, column):
     return spark.range(1).select(column.alias("v")).first()["v"]
 
 
+def site(**changes):
+    """The place that the matching cases are about."""
+    return row(**{"latitude_deg": 10.0, "longitude_deg": 20.0, "iata_code": "AAA", "icao_code": "AAAA", **changes})
+
+
 def candidates(spark, *rows):
     return MT.collect_candidates(spark.createDataFrame(list(rows), CANDIDATE), SIMPLIFY)
 
@@ -48,15 +53,18 @@ def resolve(spark, places, found, **inputs):
 @pytest.mark.parametrize(
     "labels, expected",
     [
-        ({"zh-hant": ["阿巴坎國際機場"], "zh-cn": ["阿巴坎国际机场"]}, ("阿巴坎国际机场", "zh-cn", False)),
-        ({"zh-tw": ["隆城國際機場"]}, ("隆城国际机场", "zh-tw>zh-hans", True)),
-        ({"zh": ["洛杉磯國際機場"]}, ("洛杉矶国际机场", "zh>zh-hans", True)),
-        ({"zh-hk": ["甲"]}, ("甲", "zh-hk>zh-hans", True)),
-        ({"zh": ["London Heathrow Airport"]}, None),
-        ({"zh": ["Akanu Ibiam國際機場"]}, None),
-        ({"zh": ["LHR"]}, None),
-        ({"zh-cn": ["Long name"], "zh": ["乙", "甲"]}, ("乙", "zh", False)),
-        ({"en": ["甲"]}, None),
+        # Simplified labels win over traditional ones, whatever their order.
+        ({"zh-tw": ["東港號車站"], "zh-hans": ["东港号车站"]}, ("东港号车站", "zh-hans", False)),
+        # A traditional label is simplified, and says so.
+        ({"zh-hk": ["東港車場"]}, ("東港车场", "zh-hk>zh-hans", True)),
+        ({"zh": ["國際場"]}, ("国际场", "zh>zh-hans", True)),
+        # Labels without a character, or with a run of Latin letters, are none.
+        ({"zh-cn": ["Plain words"]}, None),
+        ({"zh": ["Quux機場"]}, None),
+        # The next language takes over, and of two labels the first by text.
+        ({"zh-cn": ["Plain words"], "zh": ["山", "口"]}, ("口", "zh", False)),
+        # Other languages do not count.
+        ({"fr": ["口"]}, None),
     ],
 )
 def test_choose_label(spark, labels, expected):
@@ -98,7 +106,7 @@ CASES = {
 @pytest.mark.parametrize("case", CASES)
 def test_matching_cases(spark, places, case):
     rows, iata, source = CASES[case]
-    got = resolve(spark, places([row(iata_code=iata)]), candidates(spark, *rows)).first()
+    got = resolve(spark, places([site(iata_code=iata)]), candidates(spark, *rows)).first()
     assert got["name_zh_source"] == source
     assert got["name_zh_status"] == (K.RESOLVED if source else K.UNRESOLVED)
     assert got["ambiguous"] == (case == "ambiguous")
@@ -111,7 +119,7 @@ def test_only_targets_are_resolved(spark, places):
 
 
 def test_place_without_coordinates_scores_zero(spark, places):
-    df = places([row(latitude_deg="")])
+    df = places([site(latitude_deg="")])
     single = candidates(spark, ("P238", "AAA", "Q1", 80.0, 20.0, "zh", "甲"))
     assert resolve(spark, df, single).first()["name_zh"] == "甲"
     two = candidates(spark, ("P238", "AAA", "Q1", 80.0, 20.0, "zh", "甲"), ("P238", "AAA", "Q2", -80.0, 2.0, "zh", "乙"))
@@ -222,14 +230,17 @@ def test_clean_title(spark, title, expected):
 @pytest.mark.parametrize(
     "name, place, place_zh, expected",
     [
-        ("Kerema Airport", "Kerema", "凯里马", "凯里马机场"),
-        ("Linhares Municipal Airport", "Linhares", "利尼亚雷斯", "利尼亚雷斯机场"),
-        ("Kyurdamir Air Base", "Kyurdamir", "丘尔达米尔", "丘尔达米尔空军基地"),
-        ("X-International air force base ", "X", "某", "某空军基地"),
-        ("Saint-Louis  Seaplane Base", "Saint Louis", "圣路易", "圣路易水上飞机基地"),
-        ("Aracati Dragão do Mar Regional Airport", "Aracati", "阿拉卡蒂", None),
-        ("Kerema Airport", None, "凯里马", None),
-        ("Kerema Airport", "Kerema", None, None),
+        ("Tolvik Airport", "Tolvik", "托维克", "托维克机场"),
+        ("Tolvik Regional Airport", "Tolvik", "托维克", "托维克机场"),
+        ("New-Oskar   Air Base", "New Oskar", "新奥斯卡", "新奥斯卡空军基地"),
+        ("Lake Seaplane Base", "Lake", "湖", "湖水上飞机基地"),
+        # Words that are neither the place, nor a modifier, nor a kind.
+        ("Tolvik Old Mill Airport", "Tolvik", "托维克", None),
+        # One of the three is missing.
+        (None, "Tolvik", "托维克", None),
+        ("Tolvik Airport", None, "托维克", None),
+        ("Tolvik Airport", "Tolvik", None, None),
+        # Nothing is left for the place.
         ("Airport", "Airport", "机", None),
     ],
 )
@@ -241,8 +252,12 @@ def test_compose_name(spark, name, place, place_zh, expected):
 @pytest.mark.parametrize(
     "name, english, expected",
     [
-        ("凯里马机场", "Kerema Airport", "凯里马机场"), (' "凯里马" ', "K", "凯里马"), (None, "X", None),
-        ("Kerema Airport", "Kerema Airport", None), ("A", "X", None), ("凯里马机场" * 10, "X", None), ("中A", "中a", None),
+        ("托维克机场", "Tolvik Airport", "托维克机场"),
+        (' "托维克" ', "T", "托维克"),
+        ("Tolvik", "Other", None),
+        ("托" * 41, "Tolvik", None),
+        ("山A", "山a", None),
+        (None, "Tolvik", None),
     ],
 )
 def test_validate_name(spark, name, english, expected):
@@ -265,18 +280,27 @@ def replied(spark, reply, ids):
 @pytest.mark.parametrize(
     "reply, expected",
     [
-        ('思考 {"1": "甲"}\n最终：\n{"1": "凯里马", "2": null}\n', {1: "凯里马", 2: None}),
-        ('{"9": "别的"}', {}),
-        ('```json\n{"1": " 凯 "}\n```', {1: "凯"}),
-        ('{"1": "a"} {"9": "b"}', {1: "a"}),
-        ('{"1": {"x": "y"}, "2": "乙"}', {2: "乙"}),
-        ('{"1": 5, "2": "a}b{"}', {2: "a}b{"}),
-        ('say "{" then {"1": "甲"}', {1: "甲"}),
-        ('{"1": "甲"} and "open {"2": "x"}', {1: "甲"}),
-        ('{"1": "甲"} { never closed {"2": "x"}', {1: "甲"}),
-        ('{"1": "a\\"}b"}', {1: 'a"}b'}),
-        ('{"x": 1} {bad} {" 01 ": "甲", "1": "乙"}', {1: "乙"}),
-        ("not json", {}),
+        # The last object that answers wins, and null answers nothing.
+        ('draft {"1": "山"} then {"1": "口", "2": null}', {1: "口", 2: None}),
+        ('{"1": "口"} {"7": "山"}', {1: "口"}),
+        ('{"7": "山"}', {}),
+        # Values are trimmed; other kinds of values do not answer.
+        ('{"1": " 口 ", "2": [1]}', {1: "口"}),
+        # Braces and quotes inside quotes, and inside quoted text between objects.
+        ('{"2": "a}{b", "1": "c\\"}"}', {1: 'c"}', 2: "a}{b"}),
+        ('he wrote "{" and {"2": "山"}', {2: "山"}),
+        ('{"1": "山"} "never closed {"2": "口"}', {1: "山"}),
+        # An object that never ends hides what follows it.
+        ('{"1": "山"} { open {"2": "口"}', {1: "山"}),
+        # Objects nested to any depth are one object, and those behind them count.
+        ('{"a": {"b": {"c": {"d": {"e": 1}}}}} {"2": "口"}', {2: "口"}),
+        ('{"1": "山", "x": ' + '{"y": ' * 40 + "1" + "}" * 41 + ' } {"2": "口"}', {2: "口"}),
+        # Not JSON: single quotes, stray braces, no object.
+        ("{'1': '山'}", {}),
+        ('} {"1": "山"}', {1: "山"}),
+        ("none at all", {}),
+        # The same id twice: the later entry.
+        ('{" 01 ": "山", "1": "口"}', {1: "口"}),
     ],
 )
 def test_reply_map(spark, reply, expected):
@@ -301,7 +325,7 @@ def test_request_batches(spark):
 
 def test_refresh_job(spark, places, tmp_path):
     rows = [
-        row(id=1, name="One Airport"),
+        site(id=1, name="One Airport"),
         row(id=2, ident="B", type="medium_airport", name="Springfield Regional Airport", iata_code="SSS", municipality="Springfield"),
         row(id=3, ident="C", name="Kerema Airport", iata_code="KKK", municipality=""),
         row(id=4, ident="D", name="Four Airport", iata_code="FFF", municipality="Nowhere"),

@@ -3,7 +3,7 @@ from __future__ import annotations
 import hashlib
 
 import pytest
-from conftest import csv_text, four_rows, row
+from conftest import csv_text, mixed_rows, row
 
 from geoledger import constants as K
 from geoledger.operators import quality as Q
@@ -12,10 +12,10 @@ from geoledger.sources.snapshot import ragged_rows, read_snapshot, snapshot_meta
 
 
 def test_reads_and_types_rows(spark, write):
-    rows = {r["id"]: r for r in checked_snapshot(spark, write(csv_text(four_rows()))).collect()}
+    rows = {r["id"]: r for r in checked_snapshot(spark, write(csv_text(mixed_rows()))).collect()}
     assert sorted(rows) == [1, 2, 3, 4]
-    assert rows[1]["latitude_deg"] == 10.0 and rows[1]["keywords"] == "Test, 试验"
-    assert rows[2]["iata_code"] is None and rows[3]["icao_code"] is None
+    assert rows[1]["latitude_deg"] == 1.25 and rows[1]["keywords"] == "keywords 1"
+    assert rows[2]["iata_code"] is None and rows[3]["iata_code"] is None
 
 
 def test_columns_are_read_by_name(spark, write):
@@ -28,7 +28,7 @@ def test_columns_are_read_by_name(spark, write):
 
 def test_header_cells_are_trimmed_and_bom_dropped(spark, write):
     text = "﻿" + csv_text([row()]).replace("ident,", " ident ,", 1)
-    assert checked_snapshot(spark, write(text)).first()["ident"] == "AAA"
+    assert checked_snapshot(spark, write(text)).first()["ident"] == "ident 1"
 
 
 @pytest.mark.parametrize(
@@ -45,20 +45,22 @@ def test_wrong_headers_are_rejected(spark, write, change):
 
 
 def test_blank_rows_are_skipped_whatever_their_width(spark, write):
-    text = csv_text(four_rows()) + " , ,\n" + "," * 18 + "\n\n"
+    text = csv_text(mixed_rows()) + " , ,\n" + "," * 18 + "\n\n"
     assert checked_snapshot(spark, write(text)).count() == 4
 
 
 def test_ragged_rows_are_rejected(spark, write):
-    path = write(csv_text(four_rows()) + "9,XYZ,large_airport\n")
+    path = write(csv_text(mixed_rows()) + "9,XYZ,large_airport\n")
     assert ragged_rows(read_snapshot(spark, path)).count() == 1
     with pytest.raises(Q.DataRejected, match="wrong number of cells"):
         checked_snapshot(spark, path)
 
 
 def test_quoted_line_breaks_stay_in_their_cell(spark, write):
-    got = checked_snapshot(spark, write(csv_text([row(keywords='a "b"\nc')]))).first()
-    assert got["keywords"] == 'a "b"\nc'
+    path = write(csv_text([row(keywords='a "b"\nc')]))
+    assert checked_snapshot(spark, path, multi_line=True).first()["keywords"] == 'a "b"\nc'
+    with pytest.raises(Q.DataRejected, match="multi_line"):
+        checked_snapshot(spark, path)
 
 
 @pytest.mark.parametrize(
@@ -93,15 +95,15 @@ def test_elevation_is_cut_toward_zero(spark, write):
 
 
 def test_duplicate_keys(places):
-    df = places([row(), row(ident="ZZZ"), row(id=3), row(id=4, ident="D")])
+    df = places([row(), row(ident="ZZZ"), row(id=3, ident="ident 1"), row(id=4, ident="D")])
     got = {(r["key"], r["value"], r["rows"]) for r in Q.require_unique(df, "id", "ident").collect()}
-    assert got == {("id", "1", 2), ("ident", "AAA", 2)}
+    assert got == {("id", "1", 2), ("ident", "ident 1", 2)}
     with pytest.raises(Q.DataRejected, match="twice"):
         Q.enforce(Q.require_unique(df, "id"), "twice")
 
 
 def test_gate(places):
-    df = places(four_rows())
+    df = places(mixed_rows())
     assert Q.enforce_gate(Q.sanity_gate(df, 1, 1)) == (4, 1)
     for limits in ((50_000, 1), (1, 5)):
         with pytest.raises(Q.DataRejected, match="below the safe limit"):
@@ -119,20 +121,19 @@ def test_row_hash_sees_every_column(places):
     ).select(Q.row_hash()).first()[0]
 
 
-def test_meta_of_one_file_is_its_own_digest(spark, write):
-    text = csv_text(four_rows())
-    path = write(text)
-    got = snapshot_meta(spark, path).first()
-    assert got["sha256"] == hashlib.sha256(text.encode()).hexdigest()
-    assert got["bytes"] == len(text.encode())
-    assert source_digest(snapshot_meta(spark, path)).first()["source_sha256"] == got["sha256"]
-
-
-def test_meta_of_large_files_changes_with_any_line(spark, write):
-    first = write(csv_text(four_rows()), "a/a.csv")
-    second = write(csv_text(four_rows()).replace("Small", "Smell"), "b/a.csv")
-    digests = [snapshot_meta(spark, path, whole_file_limit=10).first()["sha256"] for path in (first, first, second)]
-    assert digests[0] == digests[1] != digests[2]
+def test_one_digest_rule_for_all_sizes(spark, write):
+    text = csv_text(mixed_rows())
+    first = write(text, "a/a.csv")
+    second = write(text.replace("name 2", "name Z"), "b/a.csv")
+    third = write(text * 400, "c/a.csv")
+    metas = [snapshot_meta(spark, path).first() for path in (first, first, second, third)]
+    digests = [m["sha256"] for m in metas]
+    assert digests[0] == digests[1] and len(set(digests)) == 3
+    assert metas[0]["bytes"] == len(text.encode())
+    lines = text.encode().split(b"\n")[:-1]
+    sums = [sum(int(hashlib.md5(x).hexdigest()[at : at + 15], 16) for x in lines) for at in (0, 16)]
+    assert digests[0] == hashlib.sha256(f"{len(lines)}:{sums[0]}:{sums[1]}".encode()).hexdigest()
+    assert source_digest(snapshot_meta(spark, first)).first()["source_sha256"] == digests[0]
 
 
 def test_contract(spark, places):
