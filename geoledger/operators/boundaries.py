@@ -19,8 +19,9 @@ from geoledger.session import ship
 POINTS = "array<struct<x:double,y:double>>"
 
 
-def _first_property(properties: Column, names: Sequence[str]) -> Column:
-    values = [T.blank_to_null(F.try_element_at(properties, F.lit(name))) for name in names]
+def _first_property(properties: Column, names: Sequence[Column | str]) -> Column:
+    keys = [name if isinstance(name, Column) else F.lit(name) for name in names]
+    values = [T.blank_to_null(F.try_element_at(properties, key)) for key in keys]
     return F.coalesce(*values, F.lit(""))
 
 
@@ -29,7 +30,8 @@ def feature_iso(properties: Column | str) -> Column:
     return _first_property(_col(properties), K.ISO_PROPERTIES)
 
 
-def feature_name(properties: Column | str, label_field: str = K.NAME_PROPERTIES[0]) -> Column:
+def feature_name(properties: Column | str, label_field: Column | str = K.NAME_PROPERTIES[0]) -> Column:
+    """The label field's value, or the first non-empty name property behind it."""
     return _first_property(_col(properties), (label_field, *K.NAME_PROPERTIES[1:]))
 
 
@@ -42,11 +44,12 @@ def to_points(ring: Column) -> Column:
     )
 
 
-def explode_rings(features: DataFrame) -> DataFrame:
+def explode_rings(features: DataFrame, label_field: str = K.NAME_PROPERTIES[0]) -> DataFrame:
     """One row per ring: feature, iso, name, polygon, ring_index, points.
 
     `features` holds (feature, properties MAP, kind, coordinates JSON text); a `layer` or `level`
-    column stays with the rings.
+    column stays with the rings. A `label_field` column names the property that holds the name, by
+    feature; otherwise the argument does.
     """
     polygon = F.from_json("coordinates", "array<array<array<double>>>")
     multi = F.from_json("coordinates", "array<array<array<array<double>>>>")
@@ -57,7 +60,7 @@ def explode_rings(features: DataFrame) -> DataFrame:
     per_polygon = features.select(
         *kept,
         feature_iso("properties").alias("iso"),
-        feature_name("properties").alias("name"),
+        feature_name("properties", F.col("label_field") if "label_field" in features.columns else label_field).alias("name"),
         F.posexplode(polygons).alias("polygon", "rings"),
     )
     per_ring = per_polygon.select(
@@ -183,7 +186,11 @@ def _spec_array(specs: Sequence[LevelSpec]) -> Column:
     )
 
 
-def build_levels(features: DataFrame, specs: Sequence[LevelSpec] = K.LEVEL_SPECS) -> DataFrame:
+def build_levels(
+    features: DataFrame,
+    specs: Sequence[LevelSpec] = K.LEVEL_SPECS,
+    label_field: str = K.NAME_PROPERTIES[0],
+) -> DataFrame:
     """Rings worth drawing at each level: feature, iso, name, layer, level, polygon, ring_index, flat.
 
     Features that carry `layer` or `level` columns go to the levels that match them, others to
@@ -191,7 +198,7 @@ def build_levels(features: DataFrame, specs: Sequence[LevelSpec] = K.LEVEL_SPECS
     always stay. A feature without rings has no rows. The settings are literals, so nothing is
     joined or shuffled.
     """
-    rings = explode_rings(features).where(F.size("points") >= 4)
+    rings = explode_rings(features, label_field).where(F.size("points") >= 4)
     spread = rings.select("*", ring_area("points").alias("area"), F.explode(_spec_array(specs)).alias("spec"))
     for name in _source_keys(features):
         spread = spread.where(F.col(name) == F.col(f"spec.{name}"))

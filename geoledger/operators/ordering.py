@@ -2,52 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from geoledger.session import written
+
 
 def ordered(df: DataFrame, key: str = "id") -> DataFrame:
     """Rows sorted by key; Spark range-partitions before it sorts."""
     return df.orderBy(key)
 
 
-MOST_SLICES = 512
-
-
-def _slice_of(key: Column, cuts: Sequence, first: int = 0) -> Column:
-    """How many cut points are not above the key, by halving the list of cuts."""
-    if not cuts:
-        return F.lit(first)
-    middle = len(cuts) // 2
-    return F.when(key < F.lit(cuts[middle]), _slice_of(key, cuts[:middle], first)).otherwise(
-        _slice_of(key, cuts[middle + 1 :], first + middle + 1)
-    )
+#: Rows of a slice, on average; there are as many slices as shuffle partitions at least.
+ROWS_A_SLICE = 1_000_000
 
 
 def numbered(df: DataFrame, key: str, name: str = "rn", slices: int | None = None) -> DataFrame:
     """Add the 1-based position by a unique key.
 
-    Approximate quantiles cut the keys into slices. Rows are numbered inside their slice and
-    shifted by the size of the slices before it. A slice depends on the key alone, so a task that
-    runs again gives the same numbers. The driver sees the cut points only.
+    Rows are range-partitioned by the key into slices and written once with the number of their slice. Slices are
+    numbered on their own and shifted by the sizes of those before; both steps read the written table, so they agree on
+    the slices and a task that runs again gives the same numbers. The number of slices follows the number of rows.
     """
-    spark = df.sparkSession
-    slices = slices or min(MOST_SLICES, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    parts = [step / slices for step in range(1, slices)]
-    cuts = df.agg(F.percentile_approx(key, parts, 1000).alias("cuts")).first()["cuts"] if parts else []
-    sliced = df.withColumn("_slice", _slice_of(F.col(key), sorted(set(cuts or []))))
-    sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows"))
-    # At most `slices` rows remain here, so one task for the running total is enough.
+    if slices is None:
+        parallel = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        slices = max(parallel, -(-df.select(key).count() // ROWS_A_SLICE))
+    sliced = written(df.repartitionByRange(slices, key).withColumn("_slice", F.spark_partition_id()))
+    # One row a slice, so one task for the running total is enough.
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    shift = sizes.select(
-        "_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift")
+    shift = (
+        sliced.groupBy("_slice")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select("_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"))
     )
     inside = F.row_number().over(Window.partitionBy("_slice").orderBy(key))
     return (
         sliced.withColumn("_inside", inside)
-        .join(F.broadcast(shift), "_slice")
+        .join(shift, "_slice")
         .withColumn(name, F.col("_inside") + F.col("_shift"))
         .drop("_slice", "_inside", "_shift")
     )

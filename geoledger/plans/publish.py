@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,11 +43,12 @@ def publish_job(
     manifest = publish_manifest(
         rows,
         generated_at or datetime.now(timezone.utc),
-        source={"url": snapshot_path, "sha256": source["source_sha256"]},
+        source={"url": snapshot_path, "sha256": source["source_sha256"], "rowCount": places.count()},
         names={"file": names_path, "sha256": named["source_sha256"], "rowCount": names.count()},
         snapshot={
             "path": "rows",
             "storedBytes": written["source_bytes"],
+            "uncompressedBytes": spark.read.text(f"{out_path}/rows").agg(F.sum(F.octet_length("value") + 1)).first()[0] or 0,
             "sha256": written["source_sha256"],
             "compressed": True,
         },
@@ -62,15 +63,30 @@ def boundary_job(
     out_path: str,
     specs: Sequence[LevelSpec] = K.LEVEL_SPECS,
     lines: bool = False,
+    label_fields: Mapping[tuple[str, str], str] | None = None,
 ) -> DataFrame:
-    """Build every level from its source file, write them and the manifest; returns the manifest."""
+    """Build every level from its source file, write them and the manifest; returns the manifest.
+
+    `label_fields` names the property that holds the names of a level, where it is not the usual one.
+    """
+    fields = label_fields or {}
     parts = [
-        read_geojson(spark, path, lines).withColumns({"layer": F.lit(layer), "level": F.lit(level)})
+        read_geojson(spark, path, lines).withColumns(
+            {
+                "layer": F.lit(layer),
+                "level": F.lit(level),
+                "label_field": F.lit(fields.get((layer, level), K.NAME_PROPERTIES[0])),
+            }
+        )
         for (layer, level), path in sources.items()
     ]
     features = parts[0]
     for part in parts[1:]:
         features = features.unionByName(part)
-    manifest = write_boundary_level(build_levels(features, specs), f"{out_path}/levels")
+    origin = spark.createDataFrame(
+        [(*level, path) for level, path in sources.items()], "layer string, level string, source string"
+    )
+    manifest = write_boundary_level(build_levels(features, specs), f"{out_path}/levels", specs)
+    manifest = manifest.drop("source").join(origin, ["layer", "level"])
     manifest.coalesce(1).write.mode("overwrite").json(f"{out_path}/manifest")
     return spark.read.schema(manifest.schema).json(f"{out_path}/manifest")

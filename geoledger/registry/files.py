@@ -141,7 +141,7 @@ def _s6(v):
 select 1 as schema_version, count(*) as rows, (select count(*) from {names}) as name_rows,
  count(name_zh) as named_rows,
  count(*) filter (where type in ('large_airport', 'medium_airport') and name_zh is null) as unresolved_targets,
- 25 as fields from {named}
+ 25 as fields, count(*) as source_rows, true as compressed from {named}
 """)
 def _m11(v):
     spark, root, path = snapshot_file(v)
@@ -155,6 +155,8 @@ def _m11(v):
         F.col("namedRows").alias("named_rows"),
         F.col("unresolvedTargets").alias("unresolved_targets"),
         F.size("fields").alias("fields"),
+        F.col("source.rowCount").alias("source_rows"),
+        (F.col("snapshot.storedBytes") < F.col("snapshot.uncompressedBytes")).alias("compressed"),
     )
 
 

@@ -191,6 +191,22 @@ class StateTable:
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def clean(self, keep: int = 2) -> list[str]:
+        """Delete staged snapshots, and folders of versions before the last `keep`; returns their names.
+
+        Folders without a marker may belong to a run at work and stay. Nobody else should be reading old versions.
+        """
+        fs = self.spark._jvm.org.apache.hadoop.fs
+        last, gone = self._last("versions"), []
+        markers = {n: self._data(n) for n in range(1, last + 1)}
+        old = [path for n, path in markers.items() if n <= last - keep]
+        for path in [f"{self.root}/staging", *old]:
+            target = fs.Path(path)
+            system = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            if system.exists(target) and system.delete(target, True):
+                gone.append(target.getName())
+        return gone
+
     def write_folder(self, folder: str, merged: DataFrame, expected_rows: int) -> None:
         """Write the rows of a version to a folder and check them before anyone may read them."""
         path = f"{self.root}/data/{folder}"

@@ -110,6 +110,11 @@ def test_features_and_levels(spark, write, tmp_path):
     got = {(r["layer"], r["level"]): (r["features"], r["rings"], r["points"]) for r in manifest.collect()}
     assert got[("countries", "coarse")] == (2, 4, 20)
     assert got[("districts", "fine")] == (3, 6, 30)
+    first = manifest.where("layer = 'countries'").first()
+    assert (first["source"], first["tolerance"], first["decimals"]) == (path, 0.02, 2)
+    assert 0 < first["stored_bytes"] and 0 < first["raw_bytes"] and first["path"].endswith("layer=countries/level=coarse")
+    named = B.build_levels(found, [("countries", "coarse", 0.02, 2.0, 2)], label_field="ISO_A2")
+    assert {r["name"] for r in named.collect()} != {r["name"] for r in built}
 
 
 def test_other_documents_are_rejected(spark, write):

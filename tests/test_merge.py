@@ -215,6 +215,8 @@ def test_of_two_writers_one_starts_again(spark, write, tmp_path, monkeypatch):
     assert (got.version, got.rows_inserted, got.rows_unchanged) == (2, 2, 2)
     assert len(calls) == 3 and table.read().count() == 4
     assert not table.commit(1, "elsewhere")
+    assert len(table.clean(keep=1)) == 2 and table.clean(keep=1) == []
+    assert table.read().count() == 4
 
 
 def test_deactivate_missing_alone(spark, places):
