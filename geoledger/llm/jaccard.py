@@ -11,11 +11,12 @@ Heavy sets are narrowed in exact steps before sets are compared:
 
 1. In the order of their hashes, linked sets share at least `shared_least` of their first `prefix` shingles. Each set
    lists that prefix; sets with fewer shingles in lists of several sets have no link and leave. One scan, one shuffle.
-2. The remaining sets are compared with the sets they meet most often in lists, one in their own block and one in
-   all, which joins most groups of near copies without comparing all pairs within them.
-3. What is left are links between different components. A set has one only if 80 % of its shingles occur in another
-   component. Those sets list the rarest shingles that the bound allows, meet again as in 2, and finally as all pairs
-   of different components within a list, so that no link is lost. Each round works on what the one before left.
+2. A link between different components needs 80 % of a set's shingles to occur in another component. Sets with that
+   many list the rarest shingles that the bound allows. Each is compared with one hub of its lists, the set most like
+   the others, which joins most groups of near copies without comparing all pairs within them. Components are found
+   and the step is repeated on what is left, fewer sets each time.
+3. At last all pairs of different components in a list are compared, but for those that sizes and common shingles rule
+   out, so that no link is lost.
 
 Sets are known by a 64-bit hash of their content, shingles by 64-bit hashes of their words. Equal sets are one node
 throughout, however many documents have them. A list entry that repeats within a block of documents is counted there
@@ -46,9 +47,9 @@ ENTRY_COST = 4
 SIZES = 64
 #: Rows of two longs up to which a side is broadcast: 32 MB. Larger ones are shuffled.
 BROADCAST_ROWS = 2_000_000
-#: Rounds of comparison with one partner before all pairs of what is left.
-STAR_ROUNDS = 2
-DOC, ENTRY, NEAR, LIGHT, FAR, LINK = range(6)
+#: Rounds of comparison with a hub before all pairs of what is left.
+STAR_ROUNDS = 1
+DOC, ENTRY, MET, LIGHT, LINK = range(5)
 SENT = "k long, kind int, sid long, other long, n long"
 FOUND = "kind int, sid long, other long, n long"
 
@@ -159,18 +160,10 @@ def light_keys(hashes, most: int) -> list[tuple[int, int]]:
     return out
 
 
-def summed(sid, rep):
-    """Equal (sid, rep) counted."""
-    import numpy as np
-
-    order = np.lexsort((rep, sid))
-    sid, rep = sid[order], rep[order]
-    starts = np.flatnonzero(np.r_[True, (sid[1:] != sid[:-1]) | (rep[1:] != rep[:-1])]) if len(sid) else np.zeros(0, "i8")
-    return sid[starts], rep[starts], np.diff(np.r_[starts, len(sid)])
-
-
 def combined(keys, sids):
-    """Entries of a block: (key, sid) to send, whether each is already counted, and counted (sid, partner, times)."""
+    """Entries of a block: (key, sid) to send, whether each is already counted, and counted (sid, times).
+
+    In a list of several sets all are counted here; the first and the last go on, so that others can be counted."""
     import numpy as np
 
     order = np.lexsort((sids, keys))
@@ -179,16 +172,11 @@ def combined(keys, sids):
     keys, sids = keys[new], sids[new]
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     counts = np.diff(np.r_[starts, len(keys)])
-    ends = starts + counts - 1
-    single, several = counts == 1, counts > 1
-    first, last = np.repeat(sids[starts], counts), np.repeat(sids[ends], counts)
-    inside = np.repeat(several, counts)
-    partner = np.where(sids == first, last, first)
-    near = summed(sids[inside], partner[inside])
-    sent_k = np.r_[keys[starts[single]], keys[starts[several]], keys[starts[several]]]
-    sent_s = np.r_[sids[starts[single]], sids[starts[several]], sids[ends[several]]]
-    done = np.r_[np.zeros(single.sum(), "i8"), np.ones(2 * several.sum(), "i8")]
-    return sent_k, sent_s, done, near
+    single, several = starts[counts == 1], starts[counts > 1]
+    ends = several + counts[counts > 1] - 1
+    at = np.r_[single, several, ends]
+    done = np.r_[np.zeros(len(single), "i8"), np.ones(2 * len(several), "i8")]
+    return keys[at], sids[at], done, np.unique(sids[np.repeat(counts > 1, counts)], return_counts=True)
 
 
 def listing(most: int):
@@ -208,7 +196,7 @@ def listing(most: int):
                     pa.array(np.asarray(k, "i8")),
                     pa.array(np.full(len(k), kind, "i4")),
                     pa.array(np.asarray(sid, "i8")),
-                    pa.array(other, pa.int64()),
+                    pa.nulls(len(k), pa.int64()) if other is None else pa.array(other, pa.int64()),
                     pa.array(np.asarray(n, "i8")),
                 ],
                 names,
@@ -223,7 +211,7 @@ def listing(most: int):
                 sids = np.repeat([s for _, s in entries], [len(k) for k, _ in entries])
                 k, s, done, near = combined(keys, sids)
                 yield rows(ENTRY, k, s, done, np.zeros(len(k)))
-                yield rows(NEAR, near[0], near[0], near[1], near[2])
+                yield rows(MET, near[0], near[0], None, near[1])
             if light:
                 firsts: dict[tuple[int, int, int], int] = {}
                 links = set()
@@ -258,43 +246,35 @@ def listing(most: int):
 
 
 def meeting(batches) -> Iterator:
-    """For mapInArrow over rows in order of k: who meets whom in lists of several sets; other rows pass."""
+    """For mapInArrow over rows in order of k: how often each set is in a list of several; other rows pass."""
     import numpy as np
     import pyarrow as pa
 
-    def rows(kind, sid, other, n):
-        columns = [pa.array(np.asarray(kind, "i4")), pa.array(sid), pa.array(other, pa.int64()), pa.array(np.asarray(n, "i8"))]
-        return pa.RecordBatch.from_arrays(columns, ["kind", "sid", "other", "n"])
+    names = ["kind", "sid", "other", "n"]
 
     def met(k, sid, done):
-        """Of whole lists in order: each set with the first of its list, the first with the last."""
+        """The sets that whole lists in order count, with repeats."""
         order = np.lexsort((done, sid, k))
         k, sid, done = k[order], sid[order], done[order]
         last_of = np.r_[(k[1:] != k[:-1]) | (sid[1:] != sid[:-1]), True]  # counted in a block, if at all, sorts last
         k, sid, done = k[last_of], sid[last_of], done[last_of]
         starts = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
         counts = np.diff(np.r_[starts, len(k)])
-        several = np.repeat(counts > 1, counts)
-        first, last = np.repeat(sid[starts], counts), np.repeat(sid[starts + counts - 1], counts)
-        partner = np.where(sid == first, last, first)
-        return sid[several], partner[several], 1 - done[several]
-
-    def added(parts):
-        """Equal pairs in one row, with the sum of their new entries."""
-        sid, rep, w = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.lexsort((rep, sid))
-        sid, rep, w = sid[order], rep[order], w[order]
-        starts = np.flatnonzero(np.r_[True, (sid[1:] != sid[:-1]) | (rep[1:] != rep[:-1])])
-        return rows(np.full(len(starts), FAR), sid[starts], rep[starts], np.add.reduceat(w, starts))
+        return sid[np.repeat(counts > 1, counts) & (done == 0)]
+
+    def counted(parts):
+        sid, times = np.unique(np.concatenate(parts), return_counts=True)
+        kind, other = pa.array(np.full(len(sid), MET, "i4")), pa.nulls(len(sid), pa.int64())
+        return pa.RecordBatch.from_arrays([kind, pa.array(sid), other, pa.array(times.astype("i8"))], names)
 
     held = [np.zeros(0, "i8")] * 3
-    far, waiting = [], 0
+    found, waiting = [], 0
     for batch in batches:
         kind = batch.column(1).to_numpy()
         passing = np.flatnonzero(kind != ENTRY)
         if len(passing):
             b = batch.take(pa.array(passing))
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), b.column(3), b.column(4)], ["kind", "sid", "other", "n"])
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in (1, 2, 3, 4)], names)
         entries = np.flatnonzero(kind == ENTRY)
         if not len(entries):
             continue
@@ -303,15 +283,15 @@ def meeting(batches) -> Iterator:
         whole = int(np.searchsorted(k, k[-1]))  # the last list may go on
         held = [x[whole:] for x in (k, sid, done)]
         if whole:
-            far.append(met(k[:whole], sid[:whole], done[:whole]))
-            waiting += len(far[-1][0])
+            found.append(met(k[:whole], sid[:whole], done[:whole]))
+            waiting += len(found[-1])
         if waiting > BLOCK_ENTRIES:
-            yield added(far)
-            far, waiting = [], 0
+            yield counted(found)
+            found, waiting = [], 0
     if len(held[0]):
-        far.append(met(*held))
-    if far and sum(len(x[0]) for x in far):
-        yield added(far)
+        found.append(met(*held))
+    if found:
+        yield counted(found)
 
 
 def listed_sets(batches) -> Iterator:
@@ -358,10 +338,11 @@ def own_least_of(n: Column) -> Column:
 
 
 def rare_lists(current: DataFrame) -> DataFrame:
-    """(h, sid, n, component) of the rarest shingles by which a set can link to another component.
+    """(place, h, sid, n, component, common, list) of the rarest shingles by which a set can link to another component.
 
-    Shingles of one component alone come first in the order and need no list. Of the others, by rising count, a set
-    lists as many as remain of the n - least + 1 that any link must share one of.
+    `common` counts the shingles that another component has too, the most it can share with one. Shingles of one
+    component alone come first in the order and need no list. Of the others, by rising count, a set lists as many as
+    remain of the n - least + 1 that any link must share one of.
     """
     spread = current.select("sid", "n", "component", F.explode("shingles").alias("h"))
     counts = (
@@ -374,24 +355,26 @@ def rare_lists(current: DataFrame) -> DataFrame:
         spread.join(counts, "h")
         .groupBy("sid", "n", "component")
         .agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("shared"))
+        .withColumn("common", F.size("shared").cast("long"))
     )
-    room = F.col("n") - own_least_of(F.col("n")) + 1 - (F.col("n") - F.size("shared"))
+    room = F.col("common") - own_least_of(F.col("n")) + 1
+    listed = F.transform(F.slice("shared", F.lit(1), F.greatest(room, F.lit(0)).cast("int")), lambda x: x["h"])
     return (
         shared.where(room > 0)
-        .select("sid", "n", "component", F.explode(F.slice("shared", F.lit(1), room.cast("int"))).alias("_s"))
-        .select(F.col("_s.h").alias("h"), "sid", "n", "component")
+        .select("sid", "n", "component", "common", listed.alias("list"))
+        .select(F.posexplode("list").alias("place", "h"), "sid", "n", "component", "common", "list")
     )
 
 
 def star_pairs(lists: DataFrame) -> DataFrame:
-    """Each set with the set of another component that it meets most often as first or last of a list."""
-    ends = lists.groupBy("h").agg(
-        F.min(F.struct("component", "sid")).alias("lo"), F.max(F.struct("component", "sid")).alias("hi")
-    )
+    """Each set with the hub that it meets most often: the set of a list that has most of its shingles in common with
+    others, such as the original of a group of edited copies. Sets of the hub's own component need no pair."""
+    share = F.col("common") / F.col("n")
+    hubs = lists.groupBy("h").agg(F.max(F.struct(share.alias("share"), "sid", "component")).alias("hub"))
     return (
-        lists.join(ends, "h")
-        .select("sid", F.when(F.col("component") == F.col("lo.component"), F.col("hi.sid")).otherwise(F.col("lo.sid")).alias("b"))
-        .groupBy("sid", "b")
+        lists.join(hubs, "h")
+        .where(F.col("component") != F.col("hub.component"))
+        .groupBy("sid", F.col("hub.sid").alias("b"))
         .agg(F.count(F.lit(1)).alias("times"))
         .groupBy("sid")
         .agg(F.max_by("b", F.struct("times", "b")).alias("b"))
@@ -400,13 +383,17 @@ def star_pairs(lists: DataFrame) -> DataFrame:
 
 
 def all_pairs(lists: DataFrame) -> DataFrame:
-    """Pairs of different components and fitting sizes that meet in a list."""
-    other = lists.select("h", *[F.col(c).alias(f"{c}2") for c in ("sid", "n", "component")])
+    """Pairs of different components that can link by their sizes and by what each has in common with others; a pair
+    comes from the first list that both are in."""
+    names = ("sid", "n", "component", "common", "place", "list")
+    other = lists.select("h", *[F.col(c).alias(f"{c}2") for c in names])
+    # What stands before the first shingle that both list is not shared.
+    able = "9 * least(common - place, common2 - place2) >= 4 * (n + n2)"
+    first = "element_at(array_intersect(list, list2), 1) = h"
     return (
         lists.join(other, "h")
-        .where("sid < sid2 AND component <> component2 AND 5 * n >= 4 * n2 AND 5 * n2 >= 4 * n")
+        .where(f"sid < sid2 AND component <> component2 AND {able} AND {first}")
         .select(F.col("sid").alias("a"), F.col("sid2").alias("b"))
-        .distinct()
     )
 
 
@@ -428,7 +415,7 @@ def light_boundary(df: DataFrame, text: str) -> int:
     """The boundary for the sizes of a table, from the word counts of its short texts: at most as many rows as there
     are sizes up to the largest light one come to the driver. Any boundary gives the same links."""
     most = MOST_LIGHT * 2
-    short = df.where(F.octet_length(text) <= 40 * most)
+    short = df.where(F.octet_length(text) <= 12 * most)
     words = F.size(F.filter(F.split(F.col(text), "[\\x20\\x09-\\x0D]+"), lambda w: w != ""))
     size = F.greatest(words - (WORDS - 1), F.lit(1))
     counts = short.where(words > 0).groupBy(size.alias("n")).count().where(F.col("n") <= most).collect()
@@ -450,14 +437,9 @@ def grouped(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     nodes = docs.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
     edges = light_links(found)
 
-    near = found.where(F.col("kind").isin(NEAR, FAR)).select(
-        "sid", F.col("other").alias("rep"), F.col("n").alias("w"), (F.col("kind") == FAR).alias("far")
-    )
-    least = own_least_of(F.col("n"))
-    asked = F.greatest(F.lit(1), F.floor(least / 10)).cast("long")
-    left = stored(
-        near.groupBy("sid").agg(F.sum("w").alias("met")).join(nodes, "sid").where(F.col("met") >= asked).select("sid", "doc_id")
-    )
+    asked = F.greatest(F.lit(1), F.floor(own_least_of(F.col("n")) / 10)).cast("long")  # shared_least
+    met = found.where(F.col("kind") == MET).groupBy("sid").agg(F.sum("n").alias("met"))
+    left = stored(met.join(nodes, "sid").where(F.col("met") >= asked).select("sid", "doc_id"))
     wanted = small(left.select(F.col("doc_id").alias("_wanted")).distinct())
     chosen = rows.join(wanted, rows["doc_id"].eqNullSafe(F.col("_wanted")), "left_semi").select("text")
     sets = stored(
@@ -465,17 +447,7 @@ def grouped(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         .join(small(left.select("sid")), "sid", "left_semi")
         .dropDuplicates(["sid"])
     )
-    most_met = (
-        near.join(small(left.select("sid")), "sid", "left_semi")
-        .join(small(left.select(F.col("sid").alias("rep"))), "rep", "left_semi")
-        .groupBy("sid", "far", "rep")
-        .agg(F.sum("w").alias("w"))
-        .groupBy("sid", "far")
-        .agg(F.max_by("rep", F.struct("w", "rep")).alias("b"))
-        .select(F.col("sid").alias("a"), "b")
-        .distinct()
-    )
-    edges = stored(edges.union(verified(most_met, sets)))
+    edges = stored(edges)
 
     current = sets
     for turn in range(STAR_ROUNDS + 1):
