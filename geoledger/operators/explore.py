@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -186,69 +187,71 @@ def _offered(places: DataFrame, *columns: Column | str) -> DataFrame:
     )
 
 
-def _meet(offered: DataFrame, asked: DataFrame) -> DataFrame:
-    """Equi-join of offers with demands; an offer meets demands for its country and for any."""
-    kept = [name for name in offered.columns if name != "country"]
-    both = offered.select(*kept, F.explode(F.array("country", F.lit(_ANY))).alias("country"))
-    return both.join(asked, ["type", "country"]).where(_flags_met())
-
-
 def _flags_met() -> Column:
     return (~F.col("has_zh") | F.col("named")) & (~F.col("scheduled_only") | F.col("scheduled"))
 
 
-def _grams(text: str) -> Column:
-    """Distinct substrings of one to three characters."""
-    pieces = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)) for size in (1, 2, 3)]
-    return F.array_distinct(F.concat(*pieces))
+GRAM = 3  # characters of a word that are looked up
+
+
+def _grams(text: str, sizes: Sequence[int]) -> Column:
+    """Distinct substrings of the given sizes."""
+    pieces = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)) for size in sizes]
+    return F.array_distinct(F.concat(*pieces)) if pieces else F.array().cast("array<string>")
 
 
 def _meet_words(offered: DataFrame, asked: DataFrame) -> DataFrame:
-    """Offers that hold every word of a demand.
+    """Offers, without their text, by each list of words that they hold.
 
-    A text that holds a word holds the first characters of it, so these become a join key: a state
-    meets the texts with its beginning and not every place of its type.
+    Lists of words are looked up once, however many states share them. A text that holds a word holds its first
+    characters, so these become a join key: a list meets the texts with its beginning and not every text. Only
+    beginnings of the lengths asked for are made, three at most.
     """
+    words = asked.where(F.size("tokens") > 0).select("tokens", "lead", F.substring("lead", 1, GRAM).alias("gram"))
+    words = written(words.distinct())
+    sizes = [r[0] for r in words.select(F.length("gram")).distinct().collect()]
     # The outer form keeps Spark from testing every list of beginnings for emptiness first.
-    keyed = offered.select("*", F.explode_outer(_grams("text")).alias("gram"))
-    wanted = (
-        asked.where(F.size("tokens") > 0)
-        .withColumn("gram", F.substring("lead", 1, 3))
-        .withColumnRenamed("country", "wanted_country")
-    )
-    text, country = F.col("text"), F.col("wanted_country")
-    met = keyed.join(wanted, ["type", "gram"]).where(
-        (country.eqNullSafe(F.col("country")) | (country == _ANY))
-        & _flags_met()
-        & F.contains(text, F.col("lead"))
+    keyed = offered.select("*", F.explode_outer(_grams("text", sorted(sizes))).alias("gram"))
+    text = F.col("text")
+    return (
+        keyed.join(words, "gram")
+        .where(F.contains(text, F.col("lead")) & F.forall("tokens", lambda word: F.contains(text, word)))
+        .drop("text", "gram", "lead")
     )
-    return met.where((F.size("tokens") <= 1) | F.forall("tokens", lambda word: F.contains(text, word)))
+
+
+def _no_words(offered: DataFrame) -> DataFrame:
+    return offered.withColumn("tokens", F.array().cast("array<string>"))
+
+
+def _meet(offered: DataFrame, asked: DataFrame) -> DataFrame:
+    """Equi-join of offers with demands for the same words; an offer meets demands for its country and for any."""
+    kept = [name for name in offered.columns if name != "country"]
+    both = offered.select(*kept, F.explode(F.array("country", F.lit(_ANY))).alias("country"))
+    return both.join(asked, ["type", "country", "tokens"]).where(_flags_met())
 
 
 def apply_filter_table(places: DataFrame, filters: DataFrame) -> DataFrame:
     """(state, id) for every distinct filter state and the places it keeps."""
     asked = written(_asked(written(filter_states(filters))))
-    plain = _meet(_offered(places, "id"), asked.where(F.size("tokens") == 0))
     worded = _meet_words(_offered(places, "id", haystack().alias("text")), asked)
-    return plain.select("state", "id").unionByName(worded.select("state", "id"))
+    offers = _no_words(_offered(places, "id")).unionByName(worded)
+    return _meet(offers, asked).select("state", "id")
 
 
 def count_filter_table(places: DataFrame, filters: DataFrame) -> DataFrame:
     """Per distinct filter state how many saved filters share it and how many places it keeps.
 
-    States without words are answered from the counts per facet, so no place is paired with them;
-    states with words look up the places that hold them. The states feed three branches and become
-    a table first, so the saved filters are decoded once.
+    States are answered from the counts per facet and list of words, so no place is paired with a state. The states
+    feed several branches and become a table first, so the saved filters are decoded once.
     """
     states = written(filter_states(filters))
     asked = written(_asked(states))
-    facets = _offered(places).groupBy("type", "country", "named", "scheduled").agg(
-        F.count(F.lit(1)).alias("places")
-    )
-    plain = _meet(facets, asked.where(F.size("tokens") == 0)).select("state", "places")
-    worded = _meet_words(_offered(places, haystack().alias("text")), asked)
-    hits = worded.select("state", F.lit(1).cast("bigint").alias("places"))
-    counted = plain.unionByName(hits).groupBy("state").agg(F.sum("places").alias("places"))
+    facet = ["tokens", "type", "country", "named", "scheduled"]
+    count = F.count(F.lit(1)).alias("places")
+    plain = _no_words(_offered(places)).groupBy(*facet).agg(count)
+    worded = _meet_words(_offered(places, haystack().alias("text")), asked).groupBy(*facet).agg(count)
+    counted = _meet(plain.unionByName(worded), asked).groupBy("state").agg(F.sum("places").alias("places"))
     return states.join(counted, "state", "left").select(
         "state", "filters", F.coalesce("places", F.lit(0)).alias("places")
     )
