@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -11,7 +12,6 @@ from geoledger import constants as K
 
 _INTEGER = r"^[+-]?[0-9]+$"
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_TRAILING_BRACKETS = rf"{K.SPACE_PATTERN}*[（(][^）)]*[）)]{K.SPACE_PATTERN}*\z"
 
 
 def _col(value: Column | str) -> Column:
@@ -66,8 +66,17 @@ def entity_id(uri: Column | str) -> Column:
 
 
 def strip_brackets(text: Column | str) -> Column:
-    """Drop one trailing parenthetical, ASCII or full width."""
-    return strip(F.regexp_replace(_col(text), _TRAILING_BRACKETS, ""))
+    """Drop one trailing parenthetical, ASCII or full width.
+
+    It ends the text, and begins at the first opening bracket behind any bracket that closed before.
+    """
+    whole = strip(text)
+    inner = F.translate(F.left(whole, F.length(whole) - 1), "（）", "()")
+    tail = F.substring_index(inner, ")", -1)
+    opening = F.instr(tail, F.lit("("))
+    before = F.left(whole, F.length(inner) - F.length(tail) + opening - 1)
+    closed = F.right(whole, F.lit(1)).isin(")", "）") & (opening > 0)
+    return F.when(closed, strip(before)).otherwise(whole)
 
 
 def title_variants(city: Column | str) -> Column:
@@ -117,20 +126,39 @@ def normalize_compare(text: Column | str) -> Column:
     return F.lower(F.regexp_replace(_col(text), r"[^\p{L}\p{N}_]", ""))
 
 
-def compose_name(name: Column | str, place: Column | str, place_zh: Column | str) -> Column:
-    """`<place> [modifier] <kind>` in the local language, when the head is the place; else NULL."""
-    place, place_zh = blank_to_null(place), blank_to_null(place_zh)
-    kinds = "|".join(sorted(K.KIND_ZH, key=len, reverse=True))
-    modifiers, space = "|".join(K.NAME_MODIFIERS), K.SPACE_PATTERN
-    shape = rf"(?i)^(.+?)(?:(?:{space}|-)+(?:{modifiers}))?{space}+({kinds})$"
-    text = strip(name)
-    head = F.regexp_extract(text, shape, 1)
-    kind = F.lower(F.regexp_extract(text, shape, 2))
-    kind_zh = F.create_map(*[F.lit(part) for pair in K.KIND_ZH.items() for part in pair])
-    return F.when(
-        (kind != "") & (normalize_compare(head) == normalize_compare(place)),
-        F.concat(place_zh, F.try_element_at(kind_zh, kind)),
+def _without(text: Column, endings: Sequence[str], separators: str) -> Column:
+    """(head, ending) by the longest of some endings, in lower case; the head stands before it and the separators that
+    must be in front of it. NULL where no ending fits."""
+
+    def parts(ending: Column) -> Column:
+        before = F.left(text, F.length(text) - F.length(ending))
+        return F.struct(F.rtrim(before, F.lit(separators)).alias("head"), before.alias("before"), ending.alias("ending"))
+
+    longest_first = sorted((e.lower() for e in endings), key=len, reverse=True)
+    ends = F.filter(
+        F.array(*[F.lit(e) for e in longest_first]), lambda e: F.lower(F.right(text, F.length(e))) == e
     )
+    fits = F.filter(F.transform(ends, parts), lambda p: (p["head"] != "") & (p["head"] != p["before"]))
+    return F.get(fits, F.lit(0))
+
+
+def compose_name(name: Column | str, place: Column | str, place_zh: Column | str) -> Column:
+    """`<place> [modifier] <kind>` in the local language, when the head is the place; else NULL.
+
+    The longest kind that ends the name counts, and one modifier before it may go.
+    """
+    place, place_zh, text = blank_to_null(place), blank_to_null(place_zh), strip(name)
+    kinds = F.create_map(*[F.lit(part) for pair in K.KIND_ZH.items() for part in pair])
+    found = _without(text, list(K.KIND_ZH), K.WHITESPACE)
+
+    def composed(named: Column) -> Column:
+        head = named["head"]
+        short = F.coalesce(_without(head, K.NAME_MODIFIERS, K.WHITESPACE + "-")["head"], head)
+        same = normalize_compare(short) == normalize_compare(place)
+        return F.when(same, F.concat(place_zh, F.try_element_at(kinds, named["ending"])))
+
+    # An array of one, so that the parts of the name are found once.
+    return F.get(F.transform(F.array(found), composed), F.lit(0))
 
 
 def validate_name(name: Column | str, english: Column | str) -> Column:
