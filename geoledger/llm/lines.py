@@ -170,3 +170,43 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least: i
 def op6_winnowed_line_dedup(spark, sf_dir: str) -> DataFrame:
     """All documents without the lines of runs of 50 words or more that an earlier place holds."""
     return dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+#: The same for documents with keys of their own, by the lines themselves instead of hashes.
+ORACLE = f"""
+with line as (
+ select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as pos
+ from documents where text is not null
+), counted as (
+ select *, trim(translate(line, chr(9) || chr(13) || chr(11) || chr(12), '    '), ' ') as t,
+  case when t = '' then 0 else length(t) - length(replace(t, ' ', '')) + 1 end as words from line
+), placed as (
+ select *, coalesce(sum(words) over (partition by doc_id order by pos rows between unbounded preceding and 1 preceding), 0)
+  * {HALF} + pos as place from counted
+), opened as (
+ select doc_id, pos, words, max(pos) over inside as last, sum(words) over inside as held, list(line) over inside as content,
+  coalesce(list(line) over before, []) as ahead_of, coalesce(list(line) over behind, []) as behind_it from placed
+ window inside as (partition by doc_id order by place range between 0 preceding and {RUN_WORDS * HALF - 1} following),
+  before as (partition by doc_id order by place range between {RUN_WORDS * HALF} preceding and 1 preceding),
+  behind as (partition by doc_id order by place range between {RUN_WORDS * HALF} following and {2 * RUN_WORDS * HALF - 1} following)
+), win as (select * from opened where held >= {RUN_WORDS} and words > 0),
+firsts as (select content, min({{'d': doc_id, 'p': pos}}) as f from win group by content having count(*) > 1),
+later as (
+ select w.*, b.ahead_of as other_ahead, b.behind_it as other_behind from win w join firsts using (content)
+ join win b on b.doc_id = f.d and b.pos = f.p where w.doc_id <> f.d or w.pos <> f.p
+), reach as (
+ select doc_id, pos, last, list_reverse(ahead_of) as a, list_reverse(other_ahead) as b, behind_it as c, other_behind as d from later
+), runs as (
+ select doc_id,
+  pos - coalesce(list_min(list_filter(range(least(len(a), len(b))), lambda i: a[i + 1] <> b[i + 1])), least(len(a), len(b))) as lo,
+  last + coalesce(list_min(list_filter(range(least(len(c), len(d))), lambda i: c[i + 1] <> d[i + 1])), least(len(c), len(d))) as hi
+ from reach
+), gone as (select distinct doc_id, unnest(range(lo, hi + 1)) as pos from runs),
+kept as (
+ select l.doc_id, coalesce(string_agg(l.line, chr(10) order by l.pos) filter (where g.pos is null), '') as text,
+  count(*) as n_lines, count(g.pos) as n_deleted
+ from line l left join gone g on g.doc_id = l.doc_id and g.pos = l.pos group by l.doc_id
+)
+select doc_id, kept.text, coalesce(n_lines, 0) as n_lines, coalesce(n_deleted, 0) as n_deleted
+from documents left join kept using (doc_id)
+"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from geoledger.llm.chunks import op10_chunk_reuse_bpe
 from geoledger.llm.jaccard import op9_size_aware_jaccard
+from geoledger.llm.lines import ORACLE as LINES_ORACLE
 from geoledger.llm.lines import op6_winnowed_line_dedup
 from geoledger.llm.merkle import op8_merkle_fingerprints
 from geoledger.llm.packing import op2_hierarchical_packing
@@ -29,4 +30,4 @@ QUERIES = {
     )
 }
 
-CHECKS: dict[str, str] = {}
+CHECKS: dict[str, str] = {"op6_winnowed_line_dedup": LINES_ORACLE}
