@@ -19,11 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geoledger.llm.rows import documents, ship, text_of
+from geoledger.llm.rows import conf_int, documents, ship, text_of
 
 #: A segment ends behind one in so many spaces, a section behind one in so many paragraphs, on average.
 SPACES_A_SEGMENT = 8
 PARAGRAPHS_A_SECTION = 4
+#: Text of a range at most, on average; there are as many ranges as shuffle partitions at least.
+RANGE_BYTES = 256 << 20
 #: Bytes of a segment's hash in the fingerprint.
 SHORT = 3
 RESULT = (
@@ -193,15 +195,17 @@ def neighbours(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
             F.xxhash64("text").alias("c"),
         ).alias("place"),
     )
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(conf_int(df.sparkSession, "spark.sql.shuffle.partitions", 200), -(-size // RANGE_BYTES))
     firsts = (
         rows.select("place")
-        .repartitionByRange("place")
+        .repartitionByRange(ranges, "place")
         .withColumn("range", F.spark_partition_id())
         .groupBy("range")
         .agg(F.min("place").alias("first"))
         .collect()
     )
-    cuts = sorted(tuple(r["first"]) for r in firsts)  # one a partition
+    cuts = sorted(tuple(r["first"]) for r in firsts)  # one a range
 
     @F.pandas_udf("bucket int, opens boolean")
     def bucket(place: pd.DataFrame) -> pd.DataFrame:
@@ -226,7 +230,7 @@ def neighbours(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     order = ["bucket", "guest", "place"]
     return (
         own.unionByName(guests)
-        .repartition("bucket")
+        .repartitionById(max(1, len(cuts)), F.col("bucket"))
         .sortWithinPartitions(*order)
         .select("bucket", "guest", "doc_id", "text")
         .mapInArrow(compare_neighbours, RESULT)
