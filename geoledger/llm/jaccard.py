@@ -25,7 +25,6 @@ and sent once, so a frequent shingle or a group of copies is as many rows as the
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 from math import comb
 
@@ -98,32 +97,15 @@ def boundary(sizes: dict[int, int]) -> int:
     return min(range(1, MOST_LIGHT + 1), key=lambda most: (cost(most), most))
 
 
-class WordHashes(dict):
-    KEPT = 1_000_000
-
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh3_64_intdigest
-
-        if len(self) >= self.KEPT:
-            self.clear()
-        self[word] = value = xxh3_64_intdigest(word)
-        return value
-
-
-@functools.cache
-def word_hashes() -> WordHashes:
-    return WordHashes()
-
-
 def shingles(text: str):
     """The sorted distinct shingle hashes of a text; of fewer than five words the whole sequence is one."""
     import numpy as np
+    from xxhash import xxh3_64_intdigest
 
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(0, "u8")
-    known = word_hashes()
-    units = np.array([known[w] for w in words], "u8")
+    units = np.fromiter(map(xxh3_64_intdigest, words), "u8", len(words))
     width = min(WORDS, len(units))
     rolled = np.full(len(units) - width + 1, width, "u8")
     for k in range(width):
