@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import re
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -26,6 +27,7 @@ from geoledger.llm.rows import documents, ship, text_of
 CHUNK_BYTES = 1024
 #: Bytes of chunk encodings that a worker keeps; emptied beyond, which costs time only.
 KEPT_BYTES = 64 << 20
+SINGLE = re.compile(r"(?<=\S) (?=\S)")
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -75,6 +77,18 @@ def route_of(text: pd.Series) -> pd.Series:
     return pd.Series([route(t) for t in text], dtype="int64")
 
 
+def certain_places(text: str) -> tuple[int, int]:
+    """The first and the last single space between other characters, before which the vocabulary always cuts; two
+    equal numbers if there are fewer than two."""
+    first = SINGLE.search(text)
+    if not first:
+        return 0, 0
+    last = text.rfind(" ", 0, len(text) - 1)
+    while text[last - 1].isspace() or text[last + 1].isspace():
+        last = text.rfind(" ", 0, last)
+    return first.start(), last
+
+
 class Chunks:
     """The encodings of chunks met so far: open head, certain ids, open tail. No certain place: all is head."""
 
@@ -82,17 +96,15 @@ class Chunks:
         self.encoder, self.known, self.size = encoder, {}, 0
 
     def of(self, chunk: bytes) -> tuple[str, bytes | None, str]:
-        from geoledger.llm.words import UNIT
-
         key = chunk_key(chunk)
         if (found := self.known.get(key)) is not None:
             return found
-        units = UNIT.split(chunk.decode("utf-8", "surrogatepass"))
-        if len(units) == 1:
-            made = (units[0], None, "")
+        text = chunk.decode("utf-8", "surrogatepass")
+        first, last = certain_places(text)
+        if first == last:
+            made = (text, None, "")
         else:
-            inner = "".join(units[1:-1])
-            made = (units[0], self.encoder.ids_of_units(units[1:-1]) if inner else b"", units[-1])
+            made = (text[:first], self.encoder.ids(text[first + 1 : last], behind_space=True), text[last:])
         if self.size > KEPT_BYTES:
             self.known, self.size = {}, 0
         self.known[key] = made
@@ -107,12 +119,18 @@ class Chunks:
             head, certain, tail = self.of(data[start:end])
             open_text += head
             if certain is not None:
-                out += [self.encoder.ids(open_text), certain]
+                out += [self.joined(open_text), certain]
                 open_text = tail
             start = end
-        out.append(self.encoder.ids(open_text))
+        out.append(self.joined(open_text))
         return b"".join(out)
 
+    def joined(self, open_text: str) -> bytes:
+        """The ids of open ends put together; all but the first begin with a space before which text is cut."""
+        if len(open_text) > 1 and open_text[0] == " " and not open_text[1].isspace():
+            return self.encoder.ids(open_text[1:], behind_space=True)
+        return self.encoder.ids(open_text)
+
 
 @functools.cache
 def byte_pieces(path: str) -> tuple[list[bytes], list[str]]:

@@ -90,7 +90,8 @@ class ByteLevel:
         self.tokenizer = tokenizer(path)
         self.plain, self.spaced = Units(self.tokenizer), Units(self.tokenizer, " ")
 
-    def ids(self, text: str) -> bytes:
+    def ids(self, text: str, behind_space: bool = False) -> bytes:
+        """The ids of a text, or of a text behind a space that may be cut before that space."""
         if not text:
             return b""
         plain, spaced, out = self.plain, self.spaced.__getitem__, []
@@ -99,21 +100,19 @@ class ByteLevel:
                 words = line.split(" ")
                 if k:
                     out.append(plain["\n"])
-                out.append(plain[words[0]])
-                out.extend(map(spaced, words[1:]))
+                if behind_space and not k:
+                    out.extend(map(spaced, words))
+                else:
+                    out.append(plain[words[0]])
+                    out.extend(map(spaced, words[1:]))
         except Uncut:
-            return self.ids_of_units(UNIT.split(text))
+            return b"".join([self.ids_of_unit(u) for u in UNIT.split(" " + text if behind_space else text)])
         return b"".join(out)
 
-    def ids_of_units(self, units: list[str]) -> bytes:
-        """Ids of units cut before."""
-        plain, out = self.plain, []
-        for u in units:
-            if u.isspace() or u[:1].isspace() or u[-1:].isspace():
-                out.append(plain.whole(u) if u[:1] != " " or u[1:2].isspace() or u[-1:].isspace() else self.spaced[u[1:]])
-            else:
-                out.append(plain[u])
-        return b"".join(out)
+    def ids_of_unit(self, unit: str) -> bytes:
+        if unit[:1] == " " and len(unit) > 1 and not (unit[1].isspace() or unit[-1].isspace()):
+            return self.spaced[unit[1:]]
+        return self.plain.whole(unit)
 
 
 class WordLevel:
