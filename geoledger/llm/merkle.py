@@ -1,7 +1,7 @@
 """Document fingerprints: a Merkle tree over sections, paragraphs and segments.
 
 A text is cut into paragraphs at line breaks, a paragraph into segments behind spaces that the bytes before them
-choose, and paragraphs are gathered into sections that end where a paragraph's own hash says so. Cuts depend on near-by
+choose, behind the first words and after a longest length, and paragraphs are gathered into sections that end where a paragraph's own hash says so. Cuts depend on near-by
 content only, so an edit changes the branches it touches and moves no others. A node's hash covers its children's.
 
 The fingerprint is one line: the root, then the sections with their paragraphs with their segments' shortened hashes.
@@ -24,6 +24,10 @@ from geoledger.llm.rows import conf_int, documents, ship, text_of
 #: A segment ends behind one in so many spaces, a section behind one in so many paragraphs, on average.
 SPACES_A_SEGMENT = 8
 PARAGRAPHS_A_SECTION = 4
+#: Longest segment. Where a longer one has no space for LEAST_BYTES, it ends behind one in so many characters on average.
+MOST_BYTES, LEAST_BYTES, CHARACTERS_A_SEGMENT = 128, 16, 32
+#: Bytes from the start of a paragraph in which each word is a segment, and the longest first segment.
+OPENING_BYTES, FIRST_BYTES = 16, 8
 #: Text of a range at most, on average; there are as many ranges as shuffle partitions at least.
 RANGE_BYTES = 256 << 20
 #: Bytes of a segment's hash in the fingerprint.
@@ -38,18 +42,71 @@ def digest(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=16).digest()
 
 
+def mixed_of(units, places):
+    """A hash of the eight bytes that end at each place."""
+    import numpy as np
+
+    mixed = np.zeros(len(places), "u8")
+    for k in range(8):
+        mixed = (mixed ^ units[places - k]) * np.uint64(0x100000001B3)
+    return mixed >> np.uint64(13)
+
+
+def further_ends(data: bytes, units, start: int, end: int) -> list[int]:
+    """Ends inside a segment that is too long: where eight bytes of a stretch without spaces choose so, else behind the
+    last space in reach, else behind the last whole character in reach."""
+    import numpy as np
+
+    chosen: list[int] = []
+    if max(map(len, data[start : end + 1].split(b" "))) >= LEAST_BYTES:
+        own = units[start : end + 2]
+        places = np.arange(end - start + 1)
+        behind = places - np.maximum.accumulate(np.where(own[: len(places)] == 32, places, -1))
+        whole = np.r_[own[1:] & 0xC0 != 0x80, True][: len(places)]
+        places = places[(behind >= LEAST_BYTES) & whole]
+        chosen = (places[mixed_of(own, places) % np.uint64(CHARACTERS_A_SEGMENT) == 0] + start).tolist()
+    out, at = [], start
+    while end - at >= MOST_BYTES:
+        reach = at + MOST_BYTES - 1
+        k = bisect.bisect_left(chosen, at + LEAST_BYTES - 1)
+        if k < len(chosen) and chosen[k] <= reach:
+            cut = chosen[k]
+        else:
+            cut = data.rfind(b" ", at, reach + 1)
+            if cut < 0:
+                cut = reach
+                while cut > reach - 3 and data[cut + 1] & 0xC0 == 0x80:
+                    cut -= 1
+        out.append(cut)
+        at = cut + 1
+    return out
+
+
 def segment_ends(data: bytes) -> list[int]:
-    """Ends of segments: behind spaces chosen by the eight bytes that end there, behind line breaks, and the end."""
+    """Ends of segments: behind spaces chosen by the eight bytes that end there, behind line breaks, and the end. The
+    opening of a paragraph is cut behind each word, so that short texts have segments too, and its first segment and
+    all others have a longest length."""
     import numpy as np
 
-    units = np.frombuffer(data, "u1")
+    units, last = np.frombuffer(data, "u1"), len(data) - 1
     spaces = np.flatnonzero(units == 32)
-    spaces = spaces[spaces >= 8]
-    mixed = np.zeros(len(spaces), "u8")
-    for k in range(8):
-        mixed = (mixed ^ units[spaces - k]) * np.uint64(0x100000001B3)
-    chosen = spaces[(mixed >> np.uint64(13)) % np.uint64(SPACES_A_SEGMENT) == 0]
-    return [*np.union1d(chosen, np.flatnonzero(units == 10)).tolist(), len(data) - 1]
+    late = spaces[spaces >= 8]
+    chosen = late[mixed_of(units, late) % np.uint64(SPACES_A_SEGMENT) == 0]
+    breaks = np.flatnonzero(units == 10)
+    starts = np.r_[0, breaks + 1]
+    words = spaces[np.r_[np.diff(spaces) > 1, True][: len(spaces)]]
+    words = words[words - starts[np.searchsorted(starts, words, "right") - 1] < OPENING_BYTES]
+    ends = np.unique(np.r_[chosen, breaks, words, last])
+    starts = starts[starts <= last]
+    firsts = starts[ends[np.searchsorted(ends, starts)] - starts >= FIRST_BYTES] + FIRST_BYTES - 1
+    for _ in range(3):
+        firsts = firsts - (units[firsts + 1] & 0xC0 == 0x80)
+    ends = np.union1d(ends, firsts)
+    opened = np.r_[0, ends[:-1] + 1]
+    wide = np.flatnonzero(ends - opened >= MOST_BYTES)
+    more = [x for k in wide.tolist() for x in further_ends(data, units, int(opened[k]), int(ends[k]))]
+    ends = np.union1d(ends, np.array(more, "i8")).tolist()
+    return [*ends, last] if data.endswith(b"\n") else ends  # behind a last line break stands an empty paragraph
 
 
 def fingerprint(text: str) -> str:

@@ -47,3 +47,41 @@ def test_odd_rows(spark):
     assert len(rows) == len(odd_rows())
     assert len({r["fingerprint"] for r in rows if r["doc_id"] in (6, 7)}) == 1
     assert merkle.neighbours(empty_table(spark)).count() == 0
+
+
+def test_half_a_text_is_found_whatever_it_is_made_of():
+    rng = random.Random(9)
+    drawn = {
+        "repeated word": "spam " * 500,
+        "other word": "again and " * 40,
+        "one character": "a" * 3000,
+        "chinese": "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(700)),
+        "base64": "".join(rng.choice("ABCDEFGHIJKLMNOPabcdefghijklmnop0123456789+/") for _ in range(5000)),
+        "emoji": "".join(chr(rng.randint(0x1F600, 0x1F640)) for _ in range(200)),
+        "short chinese": "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(10)),
+        "short": "one two three four five six",
+        "two words": "hello world",
+    }
+    following = "Quite another text of some words that stand behind it, " * 3
+    for name, text in drawn.items():
+        near = merkle.likeness(merkle.fingerprint(text), merkle.fingerprint(merkle.edited(text, following)))
+        assert near > 0.1, name
+        front = following[: len(following) // 2] + text[len(text) // 2 :]
+        if len(text) > 300:
+            assert merkle.likeness(merkle.fingerprint(text), merkle.fingerprint(front)) > 0.1, name
+    changed = drawn["base64"][:100] + "!" + drawn["base64"][100:]
+    assert merkle.likeness(merkle.fingerprint(drawn["base64"]), merkle.fingerprint(changed)) > 0.9
+
+
+def test_segments_cover_the_text_in_whole_characters():
+    rng = random.Random(3)
+    for n in [0, 1, 7, 8, 9, 127, 128, 129, 1000]:
+        for letters in ["a", "a ", "ab \n", "\n", " ", "né漢😀", "né漢😀 \n"]:
+            text = "".join(rng.choice(letters) for _ in range(n))
+            data = text.encode()
+            ends = merkle.segment_ends(data)
+            assert ends == sorted(ends) and ends[-1] == len(data) - 1
+            starts = [0, *[e + 1 for e in ends[:-1]]]
+            parts = [data[a : e + 1] for a, e in zip(starts, ends, strict=True)]
+            assert "".join(p.decode() for p in parts) == text and max(map(len, parts)) <= merkle.MOST_BYTES
+            assert sum(p.endswith(b"\n") for p in parts) == text.count("\n")
