@@ -85,3 +85,10 @@ def test_segments_cover_the_text_in_whole_characters():
             parts = [data[a : e + 1] for a, e in zip(starts, ends, strict=True)]
             assert "".join(p.decode() for p in parts) == text and max(map(len, parts)) <= merkle.MOST_BYTES
             assert sum(p.endswith(b"\n") for p in parts) == text.count("\n")
+
+
+def test_long_texts_do_not_look_alike_by_chance():
+    rng = random.Random(11)
+    one, other = (" ".join(f"{rng.getrandbits(48):012x}" for _ in range(150_000)) for _ in range(2))
+    a, b = merkle.fingerprint(one), merkle.fingerprint(other)
+    assert merkle.leaves_of(a).total() > 15_000 and merkle.likeness(a, b) == 0
