@@ -31,10 +31,17 @@ def row_key(key: str, text: str) -> Column:
 
 
 def words_of(line: Column) -> Column:
-    """Words of a line, counted by its spaces; a blank line has none."""
+    """Words of a line, maximal runs of other characters than white space; only where white space follows white space do
+    they differ from its spaces and one."""
     trimmed = F.trim(F.translate(line, "\t\r\x0b\x0c", "    "))
     spaces = F.length(trimmed) - F.length(F.replace(trimmed, F.lit(" "), F.lit("")))
-    return F.when(trimmed == "", F.lit(0)).otherwise(spaces + 1).cast("long")
+    filled = F.contains(trimmed, F.lit("  "))
+    return (
+        F.when(trimmed == "", F.lit(0))
+        .when(filled, F.regexp_count(trimmed, F.lit("[^ ]++")))
+        .otherwise(spaces + 1)
+        .cast("long")
+    )
 
 
 def lines(df: DataFrame, key: str, text: str) -> DataFrame:

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import random
+import re
 
 from odd import empty_table, odd_rows, odd_table
+from pyspark.sql import functions as F
 
 from geoledger.llm import lines
 
@@ -72,3 +74,20 @@ def test_odd_rows(spark):
     assert {(r["n_deleted"], r["text"]) for r in rows if r["doc_id"] == 7} == {(1, "")}
     assert {r["text"] for r in rows if r["doc_id"] == 2} == {None}
     assert lines.dedup_lines(empty_table(spark)).count() == 0
+
+
+def test_words_are_runs_of_characters_not_spaces(spark):
+    texts = ["a" + " " * 49 + "b", " \t a \t\x0b b\t\tc \r", "a b", "a  b", "\t \x0c", "", "x  " * 40]
+    counted = spark.createDataFrame([(t,) for t in texts], "t string").select("t", lines.words_of(F.col("t")).alias("n"))
+    expected = {t: len([w for w in re.split(r"[\x20\x09-\x0D]+", t) if w]) for t in texts}
+    assert {r["t"]: r["n"] for r in counted.collect()} == expected
+
+
+def test_aligned_lines_of_few_words_stay(spark):
+    head = "name" + " " * 30 + "count\n" + "\n".join(f"row{k}" + "\t" * 15 + f"{k}" for k in range(3))
+    rows = [(1, head + "\nfirst text"), (2, head + "\nsecond text"), (3, "a" + " " * 49 + "b"), (4, "a" + " " * 49 + "b")]
+    long = "   ".join(f"w{k}" for k in range(lines.RUN_WORDS))
+    rows += [(5, long + "\nfive"), (6, long + "\nsix")]
+    got = {r["doc_id"]: r for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: r["n_deleted"] for k, r in got.items()} == {1: 0, 2: 0, 3: 0, 4: 0, 5: 0, 6: 1}
+    assert got[2]["text"] == rows[1][1] and got[6]["text"] == "six"
