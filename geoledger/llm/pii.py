@@ -26,6 +26,11 @@ CARD = r"[0-9](?:[ -]?[0-9])++"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 #: A word with a digit or an at sign.
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+#: A word with a digit and no at sign, and as many of them as follow each other behind single spaces, or a token.
+PIECE = r"[^\x20\x09-\x0D0-9@]*+[0-9][^\x20\x09-\x0D@]*+(?!@)"
+GROUP = rf"(?<![^\x20\x09-\x0D])(?:{PIECE}(?:(?<![.,;:!?\"'])\x20{PIECE})*+|{TOKEN})"
+#: What stands before an identifier's first letter or digit; an opening bracket that closes inside belongs to it.
+LEAD = r"^(?:[^A-Za-z0-9(]*+(?=\([^()]*+\)[^A-Za-z0-9]*+[A-Za-z0-9])|[^A-Za-z0-9]*+)"
 SPACE = r"[\x20\x09-\x0D]+"
 MARKS = ".,;:!?\"'()[]{}<>"
 #: Characters around a token in which its neighbouring words are looked for.
@@ -83,31 +88,58 @@ def plain(words: Column) -> Column:
     return F.translate(F.lower(words), MARKS, "")
 
 
+TOKENS = (
+    "array<struct<start:bigint,end:bigint,form:string,left:string,right:string,seed:boolean,inner:boolean,outer:bigint>>"
+)
+
+
 def tokens(text: Column, base: Column) -> Column:
-    """Identifier-like tokens with their place, form, neighbouring words and whether they are part of a seed."""
+    """Identifier-like tokens with their place, form, neighbouring words and whether they are part of a seed.
+
+    Words with digits behind single spaces are one token together, and each that is identifier-like alone is a token
+    inside it. The words beside a token stand outside the whole group; they may hold digits."""
 
-    def described(s: Column) -> Column:
-        lead = F.length(F.regexp_extract(s["hit"], "^[^A-Za-z0-9]*+", 0))
-        trail = F.length(F.regexp_extract(F.reverse(s["hit"]), "^[^A-Za-z0-9]*+", 0))
-        inner = F.struct((s["start"] + lead).alias("start"), (s["end"] - trail).alias("end"))
-        before, after = F.split(plain(s["before"]), SPACE, -1), F.split(plain(s["after"]), SPACE, -1)
+    def keep(hit: Column, place: Column) -> Column:
+        return F.contains(hit, F.lit("@")) | (F.length(digits_of(hit)) >= LEAST_DIGITS) | overlaps(place, base)
+
+    def described(hit: Column, place: Column, left: Column, right: Column, inner: bool, outer: Column) -> Column:
+        lead = F.length(F.regexp_extract(hit, LEAD, 0))
+        trail = F.length(F.regexp_extract(F.reverse(hit), "^[^A-Za-z0-9]*+", 0))
         return F.struct(
-            inner["start"].alias("start"),
-            inner["end"].alias("end"),
-            F.lower(F.substring(s["hit"], lead + 1, F.length(s["hit"]) - lead - trail)).alias("form"),
-            F.get(before, F.size(before) - 2).alias("left"),
-            F.get(after, F.lit(1)).alias("right"),
-            overlaps(s, base).alias("seed"),
+            (place["start"] + lead).alias("start"),
+            (place["end"] - trail).alias("end"),
+            F.lower(F.substring(hit, lead + 1, F.length(hit) - lead - trail)).alias("form"),
+            left.alias("left"),
+            right.alias("right"),
+            overlaps(place, base).alias("seed"),
+            F.lit(inner).alias("inner"),
+            outer.alias("outer"),
         )
 
-    like = F.filter(
-        found(text, TOKEN, AROUND),
-        lambda s: F.contains(s["hit"], F.lit("@")) | (F.length(digits_of(s["hit"])) >= LEAST_DIGITS) | overlaps(s, base),
-    )
-    return F.transform(like, described)
+    def beside(gap: Column, word: Column, other: Column) -> Column:
+        return F.when((word == "") & (F.length(gap) < AROUND), other).otherwise(word)
 
+    def each(groups: Column) -> Column:
+        def one(g: Column, i: Column) -> Column:
+            before, after = F.split(plain(g["before"]), SPACE, -1), F.split(plain(g["after"]), SPACE, -1)
+            last = F.element_at(F.split(plain(F.get(groups, i - 1)["hit"]), SPACE, -1), -1)
+            first = F.get(F.split(plain(F.get(groups, i + 1)["hit"]), SPACE, -1), F.lit(0))
+            left = beside(g["before"], F.get(before, F.size(before) - 2), last)
+            right = beside(g["after"], F.get(after, F.lit(1)), first)
 
-TOKENS = "array<struct<start:bigint,end:bigint,form:string,left:string,right:string,seed:boolean>>"
+            def piece(s: Column) -> Column:
+                place = F.struct((g["start"] + s["start"]).alias("start"), (g["start"] + s["end"]).alias("end"))
+                own_left, own_right = F.when(s["start"] == 0, left), F.when(s["end"] == F.length(g["hit"]), right)
+                return F.when(keep(s["hit"], place), described(s["hit"], place, own_left, own_right, True, g["start"]))
+
+            pieces = F.filter(F.transform(found(g["hit"], TOKEN), piece), lambda t: t.isNotNull())
+            whole = F.array(described(g["hit"], g, left, right, False, g["start"])).cast(TOKENS)
+            both = F.concat(whole, F.when(F.contains(g["hit"], F.lit(" ")), pieces.cast(TOKENS)).otherwise(none(TOKENS)))
+            return F.when(keep(g["hit"], g), both).otherwise(none(TOKENS))
+
+        return F.flatten(F.transform(groups, one))
+
+    return let(found(text, GROUP, AROUND), each)
 
 
 def scanned(rows: DataFrame) -> DataFrame:
@@ -121,13 +153,13 @@ def scanned(rows: DataFrame) -> DataFrame:
 
 
 def occurrences(scan: DataFrame) -> DataFrame:
-    """(pattern, word, form, seed) of each token beside a word."""
-    each = scan.select(F.explode("_tokens").alias("t")).select("t.form", "t.left", "t.right", "t.seed")
+    """(pattern, word, form, seed, inner) of each token beside a word."""
+    each = scan.select(F.explode("_tokens").alias("t")).select("t.form", "t.left", "t.right", "t.seed", "t.inner")
     sides = F.array(F.struct(F.lit("L").alias("side"), F.col("left").alias("word")), F.struct(F.lit("R").alias("side"), F.col("right").alias("word")))
     return (
-        each.select("form", "seed", F.explode(sides).alias("s"))
+        each.select("form", "seed", "inner", F.explode(sides).alias("s"))
         .where(F.coalesce(F.col("s.word"), F.lit("")) != "")
-        .select(F.concat_ws(":", "s.side", "s.word").alias("pattern"), F.col("s.word").alias("word"), "form", "seed")
+        .select(F.concat_ws(":", "s.side", "s.word").alias("pattern"), F.col("s.word").alias("word"), "form", "seed", "inner")
     )
 
 
@@ -139,11 +171,12 @@ def word_counts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def discovered(scan: DataFrame, texts: DataFrame) -> DataFrame:
     """(form) of new identifiers."""
+    # A word counts once for each group beside it, not for the pieces inside as well.
     graph = occurrences(scan).groupBy("pattern", "word", "form").agg(
-        F.count(F.lit(1)).alias("times"), F.max("seed").alias("seed")
+        F.count_if(~F.col("inner")).alias("times"), F.max("seed").alias("seed")
     )
     able = (
-        graph.where("seed").groupBy("pattern", "word").agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= LEAST_SEEDS)
+        graph.where("seed AND times > 0").groupBy("pattern", "word").agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= LEAST_SEEDS)
     )
     able = stored(able.select("pattern", "word"))
     wanted = able.select("word").distinct()
@@ -171,14 +204,21 @@ def discovered(scan: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def with_discovered(scan: DataFrame, texts: DataFrame) -> DataFrame:
-    """All rows of a stored scan with `pii_spans`: base spans, and new identifiers outside them."""
+    """All rows of a stored scan with `pii_spans`: base spans, and new identifiers outside them, of a group and its pieces
+    the group."""
+    mark = F.struct(F.col("t.start").alias("start"), F.lit(4).alias("kind"), F.col("t.end").alias("end"))
     fresh = (
         scan.select("_row", F.explode("_tokens").alias("t"))
         .where(~F.col("t.seed"))
-        .select("_row", F.col("t.start").alias("start"), F.col("t.end").alias("end"), F.col("t.form").alias("form"))
+        .select("_row", F.col("t.form").alias("form"), "t.outer", "t.inner", mark.alias("mark"))
         .join(discovered(scan, texts), "form", "left_semi")
+        .groupBy("_row", "outer")
+        .agg(
+            F.collect_list(F.when(~F.col("inner"), F.col("mark"))).alias("whole"),
+            F.collect_list(F.when(F.col("inner"), F.col("mark"))).alias("pieces"),
+        )
         .groupBy("_row")
-        .agg(F.collect_list(F.struct("start", F.lit(4).alias("kind"), "end")).alias("_fresh"))
+        .agg(F.flatten(F.collect_list(F.when(F.size("whole") > 0, F.col("whole")).otherwise(F.col("pieces")))).alias("_fresh"))
     )
     return (
         scan.join(fresh, "_row", "left")

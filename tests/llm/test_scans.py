@@ -119,3 +119,27 @@ def test_odd_rows(spark, find, column):
     assert len(rows) == len(odd_rows()) and rows[0]["rid"] == "c6" and rows[0]["_row"] == "c17"
     assert all(r[column] == [] for r in rows if not r["text"])
     assert find(empty_table(spark)).count() == 0
+
+
+def test_identifiers_in_groups_are_discovered(spark):
+    rows = [(k, f"please dial +1 555 {100 + k} {4000 + k} soon") for k in range(40)]
+    planted = ["555 123 4567", "(269) 555-0137", "555.123 4568", "269 555 0199"]
+    rows += [(100 + k, f"please dial {p} soon") for k, p in enumerate(planted)]
+    rows += [(200 + k, f"from acct7: u{k}@corp.example.com again") for k in range(40)]
+    rows += [(300, "from acct7: DE89 3704 0044 0532 0130 00 again"), (301, "from acct7: 99887766 again")]
+    rows += [(400, "there were 555 123 9999 of them"), (401, "elsewhere 555 123 4567, and more")]
+    got = {r["doc_id"]: r["pii_spans"] for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    fresh = {k: [texts[k][m["start"] : m["end"]] for m in got[k] if m["kind"] == 4] for k in texts}
+    for k, p in enumerate(planted):
+        assert fresh[100 + k] == [p]
+    assert fresh[300] == ["DE89 3704 0044 0532 0130 00"] and fresh[301] == ["99887766"]
+    assert fresh[400] == [] and fresh[401] == ["555 123 4567"]
+    assert all(fresh[k] == [] for k in texts if k < 100 or 200 <= k < 300)
+
+
+def test_a_known_identifier_is_found_inside_a_group(spark):
+    rows = [(k, f"please dial +1 555 {100 + k} {4000 + k} soon") for k in range(40)]
+    rows += [(100, "please dial 5551234567 soon"), (101, "in room 12 5551234567 was seen")]
+    got = {r["doc_id"]: r["pii_spans"] for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [rows[41][1][m["start"] : m["end"]] for m in got[101]] == ["5551234567"]
