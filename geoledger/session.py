@@ -63,14 +63,21 @@ def written(df: DataFrame) -> DataFrame:
 
 
 _SHIPPED: set[str] = set()
+#: Bytes of an Arrow batch on its way to Python, unless the session sets another number. Spark's default is 64 MB, of
+#: which a task holds several on both sides.
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES, SPARK_BATCH_BYTES = 4 << 20, 64 << 20
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once a session, so that functions which run in Python find it there.
 
-    Spark's file server hands it out; the driver's folders need not be visible to the executors.
+    Spark's file server hands it out; the driver's folders need not be visible to the executors. Arrow batches are
+    limited by bytes, so that rows of long texts do not fill the workers.
     """
     context = spark.sparkContext
+    if spark.conf.get(BATCH_CONF).rstrip("b") == str(SPARK_BATCH_BYTES):
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
     if context.applicationId in _SHIPPED:
         return
     root = Path(__file__).resolve().parent
