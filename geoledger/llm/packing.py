@@ -7,7 +7,8 @@ filling left is joined into windows of the longest length. Every sequence is the
 partition. Sequences of a tier form step groups of equal token count, one after the other.
 
 The work needs no shuffle: a partition is packed in blocks of documents as it streams by, and what a block leaves open
-is carried to the next. A task that runs again reads the same rows and gives the same sequences.
+is carried to the next. Whole windows leave at once, so a block holds less than a window of each document, however long
+its text. A task that runs again reads the same rows and gives the same sequences.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ SCHEMA = (
 )
 
 Piece = tuple[int, int, int]  # document of the block, first id, length
+Rest = tuple[object, bytes, int, int]  # key, ids of the piece, its start, ids of the document
 
 
 def fill(rests: Sequence[Piece], tiers: Sequence[int]) -> tuple[list[tuple[int, list[Piece]]], list[Piece]]:
@@ -91,9 +93,9 @@ def pack_stream(
 ) -> Iterator[tuple]:
     """Pieces of (document key, ids as unsigned 32-bit integers), sequence by sequence."""
     longest, number, groups = tiers[0], 0, dict.fromkeys(tiers, 0)
-    carried: list[tuple[object, bytes, int, int]] = []  # key, ids of the piece, its start, ids of the document
+    carried: list[Rest] = []
 
-    def emit(tier: int, window: list[tuple[object, bytes, int, int]]) -> Iterator[tuple]:
+    def emit(tier: int, window: list[Rest]) -> Iterator[tuple]:
         nonlocal number
         offset, group = 0, groups[tier] // (GROUP_TOKENS // tier)
         for key, ids, start, total in window:
@@ -103,28 +105,22 @@ def pack_stream(
         groups[tier] += 1
         number += 1
 
-    def flush(batch: list[tuple[object, bytes]]) -> Iterator[tuple]:
+    def flush(batch: list[Rest]) -> Iterator[tuple]:
         nonlocal carried
-        rests = []
-        for k, (key, ids) in enumerate(batch):
-            total = len(ids) // 4
-            for start in range(0, total - longest + 1, longest):
-                yield from emit(longest, [(key, ids[4 * start : 4 * (start + longest)], start, total)])
-            if total % longest:
-                rests.append((k, total - total % longest, total % longest))
+        rests = [(k, 0, len(ids) // 4) for k, (_, ids, _, _) in enumerate(batch)]
         full, left = fill(rests, tiers)
 
-        def known(piece: Piece) -> tuple[object, bytes, int, int]:
+        def known(piece: Piece) -> Rest:
             doc, start, n = piece
-            key, ids = batch[doc]
-            return key, ids[4 * start : 4 * (start + n)], start, len(ids) // 4
+            key, ids, first, total = batch[doc]
+            return key, ids[4 * start : 4 * (start + n)], first + start, total
 
         for tier, window in full:
             yield from emit(tier, [known(p) for p in window])
         pool = carried + [known(p) for p in left]
         windows, rest = join([(k, 0, len(p[1]) // 4) for k, p in enumerate(pool)], longest)
 
-        def part(piece: Piece) -> tuple[object, bytes, int, int]:
+        def part(piece: Piece) -> Rest:
             k, start, n = piece
             key, ids, first, total = pool[k]
             return key, ids[4 * start : 4 * (start + n)], first + start, total
@@ -133,9 +129,14 @@ def pack_stream(
             yield from emit(longest, [part(p) for p in window])
         carried = [part(p) for p in rest]
 
-    batch: list[tuple[object, bytes]] = []
-    for doc in docs:
-        batch.append(doc)
+    batch: list[Rest] = []
+    for key, ids in docs:
+        total = len(ids) // 4
+        whole = total - total % longest
+        for start in range(0, whole, longest):
+            yield from emit(longest, [(key, ids[4 * start : 4 * (start + longest)], start, total)])
+        if total > whole:
+            batch.append((key, ids[4 * whole :], whole, total))
         if len(batch) == block:
             yield from flush(batch)
             batch = []
@@ -180,13 +181,15 @@ def packer(vocabulary: str) -> Callable:
                 yield made()
         if held:
             yield made()
+        encoder.forget()
 
     return run
 
 
 def pack(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The pieces of all rows. A null text counts as empty: its document is its end id. Rows with the same key, also
-    a null one, are packed each on its own. Other columns are left out; an empty table gives no pieces."""
+    a null one, are packed each on its own. A very long text is encoded whole, one at a time, and its whole windows
+    leave at once. Other columns are left out; an empty table gives no pieces."""
     ship(df.sparkSession)
     rows = df.select(df[key].cast("long").alias("doc_id"), text_of(text).alias("text"))
     return rows.mapInArrow(packer(vocabulary), SCHEMA)

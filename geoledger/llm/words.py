@@ -12,10 +12,13 @@ import functools
 import re
 
 UNIT = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
-#: Units a worker keeps, about 300 MB of them. They are forgotten beyond that, which costs time and changes no result.
-UNITS_KEPT = 1_500_000
+#: Bytes of byte-level units that a worker keeps, and of words while a task runs, and what a unit takes about. The units
+#: not used lately are forgotten beyond that, which costs time and changes no result.
+KEPT_BYTES, KEPT_WORD_BYTES, UNIT_BYTES = 300 << 20, 48 << 20, 200
 #: Letters whose bytes the vocabularies write one by one.
 LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: Longest unit that is kept.
+KEPT_UNIT = 128
 
 
 class Uncut(Exception):
@@ -29,8 +32,9 @@ class Units(dict):
     make of them. A mark behind letters is a piece of its own. All other units take the library's whole way.
     """
 
-    def __init__(self, tokenizer, prefix: str = "", lower: bool = False):
+    def __init__(self, tokenizer, prefix: str = "", lower: bool = False, kept_bytes: int = KEPT_BYTES):
         super().__init__()
+        self.older, self.room = {}, kept_bytes // UNIT_BYTES // 2
         self.tokenizer, self.model, self.prefix, self.lower = tokenizer, tokenizer.model, prefix, lower
         self.marks = {m: self.whole(m) for m in ".,"}
         self.table: dict[int, str] = {}
@@ -62,11 +66,19 @@ class Units(dict):
         return self.whole(self.prefix + text)
 
     def __missing__(self, unit):
-        if len(self) >= UNITS_KEPT:
-            self.clear()
-        self[unit] = packed = self.made(unit)
+        if (packed := self.older.get(unit)) is None:
+            packed = self.made(unit)
+        if len(unit) <= KEPT_UNIT:
+            if len(self) >= self.room:
+                self.older = dict(self)
+                self.clear()
+            self[unit] = packed
         return packed
 
+    def forget(self) -> None:
+        self.older = {}
+        self.clear()
+
 
 @functools.cache
 def tokenizer(path: str):
@@ -120,7 +132,7 @@ class WordLevel:
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
-        self.units = Units(self.tokenizer, lower=True)
+        self.units = Units(self.tokenizer, lower=True, kept_bytes=KEPT_WORD_BYTES)
 
     def ids(self, text: str) -> bytes:
         words = text.encode().split()
@@ -129,6 +141,10 @@ class WordLevel:
         except Uncut:
             return b"".join([self.units.whole(w.decode()) for w in words])
 
+    def forget(self) -> None:
+        """Frees what was kept; a task does so at its end."""
+        self.units.forget()
+
 
 @functools.cache
 def byte_level(path: str) -> ByteLevel:

@@ -111,3 +111,30 @@ def test_chunk_digests_of_odd_rows(spark):
     got = chunks.encode_digests(odd_table(spark), BYTES).collect()
     assert sorted((r[0] or -1, *r[1:]) for r in got) == sorted(digest(k, t) for k, t in odd_rows())
     assert byte_level(BYTES).ids("") == b""
+
+
+def test_pieces_hold_the_ids_of_the_library(spark):
+    made = tokenizer(WORDS)
+    want = {}
+    for key, text in odd_rows():
+        ids = np.array([*made.encode(text or "", add_special_tokens=False).ids, packing.END_ID], "<u4")
+        want.setdefault(key, []).append(ids)
+    rows = packing.pack(odd_table(spark), WORDS).collect()
+    for r in rows:
+        found = [ids for ids in want[r["doc_id"]] if len(ids) == r["doc_tokens"]]
+        cut = slice(r["start"], r["start"] + r["length"])
+        assert r["ids_crc32"] in {zlib.crc32(ids[cut].tobytes()) for ids in found}
+
+
+def test_packing_holds_less_than_a_window_of_each_document():
+    def docs():
+        for k in range(40):
+            yield k, bytes(4 * 300_000)
+
+    import tracemalloc
+
+    tracemalloc.start()
+    pieces = sum(r[2] for r in packing.pack_stream(docs()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pieces == 40 * 300_000 and peak < 8 << 20
