@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from geoledger import constants as K
 from geoledger.functions import geo as G
+from geoledger.operators import curve as C
 from geoledger.operators import spatial as SP
 from geoledger.registry import query
 
@@ -99,6 +100,33 @@ def j8_nearest(v):
     return found.withColumn("distance", F.round("distance", 6))
 
 
+def seekers(v):
+    """Every entity coordinate as it is, moved to the date line, and moved to the poles."""
+    asked = cursors(v)
+    line = asked.select(F.concat("query", F.lit("-line")), "lat", F.when(F.col("lon") < 0, -180.0).otherwise(180.0) - F.col("lon") / 900)
+    poles = asked.select(F.concat("query", F.lit("-pole")), F.when(F.col("lat") < 0, -90.0).otherwise(90.0), "lon")
+    return asked.union(line).union(poles)
+
+
+@query("j8_nearest_on_globe", f"""
+with asked as (
+ select qid as query, lat, lon from {{entities}}
+ union all select qid || '-line', lat, (case when lon < 0 then -180.0e0 else 180.0e0 end) - lon / 900 from {{entities}}
+ union all select qid || '-pole', case when lat < 0 then -90.0e0 else 90.0e0 end, lon from {{entities}}
+), far as (
+ select query, id as position, round(2 * {K.EARTH_RADIUS_KM!r}e0 * asin(least(1.0e0, sqrt(
+   sin((radians(latitude_deg) - radians(lat)) / 2) * sin((radians(latitude_deg) - radians(lat)) / 2)
+   + cos(radians(lat)) * cos(radians(latitude_deg)) * sin(radians(longitude_deg - lon) / 2)
+     * sin(radians(longitude_deg - lon) / 2)))), 6) as km
+ from asked cross join {{places}}
+)
+select query, cast(row_number() over w as integer) as place, position, km from far where km <= 1500
+qualify row_number() over w <= 3 window w as (partition by query order by km, position)
+""")
+def j8_globe(v):
+    return C.nearest_on_globe(seekers(v), points(v), k=3, max_km=1500.0)
+
+
 @query("f11_globe_xyz", f"""
 select id, {', '.join(f'round({value}, 6) + 0.0e0 as {name}' for name, value in _XYZ.items())} from {{places}}
 """)
