@@ -187,30 +187,75 @@ def match_cascade(
     )
 
 
+def _edges(subclass_of: DataFrame) -> DataFrame:
+    edges = subclass_of.select(F.col("child").alias("node"), F.col("parent").alias("target"))
+    return written(edges.where("node is not null and target is not null").distinct())
+
+
+def _doubled(steps: DataFrame, more: DataFrame) -> DataFrame:
+    """Two jumps in a row as one."""
+    first = steps.select("node", F.col("target").alias("_via"))
+    return first.join(more.select(F.col("node").alias("_via"), "target"), "_via").select("node", "target").distinct()
+
+
 def class_closure(subclass_of: DataFrame, roots: Sequence[object]) -> DataFrame:
     """The root classes and all their transitive subclasses, from (child, parent) edges.
 
-    Breadth first: each round joins the edges of the newest classes only and drops what is known
-    already, so cycles end. Every round becomes a table, which keeps the plan short and lets a lost
-    executor's work be redone from the files.
+    Jumps double in length with each round: a class that can jump to a known one is known, and the others jump twice.
+    A hierarchy of n levels is done in about log2(n) rounds, cycles or not: once a round finds nothing, no class is
+    farther away. `known` and the jumps are tables that each round writes anew, so plans stay short, each round reads
+    what it needs once, and a lost executor's work is redone from the files.
     """
     spark = subclass_of.sparkSession
-    edges = written(subclass_of.select("child", "parent").where("child is not null and parent is not null").distinct())
-    kind = edges.schema["parent"].dataType
-    frontier = spark.createDataFrame([(root,) for root in roots], ["node"]).select(
-        F.col("node").cast(kind)
+    jumps = _edges(subclass_of)
+    kind = jumps.schema["target"].dataType
+    known = spark.createDataFrame([(root,) for root in roots], ["node"]).select(F.col("node").cast(kind)).distinct()
+    while True:
+        there = known.withColumnRenamed("node", "target")
+        reached = jumps.join(there, "target", "left_semi").select("node").distinct()
+        fresh = written(reached.join(known, "node", "left_anti"))
+        if fresh.isEmpty():
+            return known
+        known = written(known.unionByName(fresh))
+        waiting = written(jumps.join(known, "node", "left_anti"))
+        arrived = waiting.join(known.withColumnRenamed("node", "target"), "target", "left_semi").select("node", "target")
+        jumps = written(_doubled(waiting, waiting).unionByName(arrived).distinct())
+
+
+def closure(subclass_of: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+    """(root, node, distance): every class below every root, at its least distance, the root itself at 0.
+
+    `roots` has one column of classes; without it every class that is a parent is a root. All roots go at once, in
+    about log2(levels) rounds: what is known up to a distance, reached by jumps of that length, is known up to twice
+    the distance. The pairs are the result and as many as the hierarchy has; the jumps of a round are pairs too.
+    """
+    jumps = _edges(subclass_of)
+    if roots is None:
+        roots = jumps.select("target")
+    first = roots.columns[0]
+    start = roots.select(F.col(f"`{first}`").cast(jumps.schema["target"].dataType).alias("root")).distinct()
+    known = written(
+        start.where("root is not null").select("root", F.col("root").alias("node"), F.lit(0).cast("long").alias("distance"))
     )
-    known = frontier.distinct()
+    length, count = 1, known.count()
     while True:
-        reached = edges.join(frontier, edges["parent"] == frontier["node"], "left_semi")
-        fresh = reached.select(F.col("child").alias("node")).distinct()
-        frontier = written(fresh.join(known, "node", "left_anti"))
-        if frontier.isEmpty():
+        below = known.select("root", F.col("node").alias("target"), (F.col("distance") + length).alias("distance"))
+        longer = jumps.join(below, "target").select("root", "node", "distance")
+        known = written(known.unionByName(longer).groupBy("root", "node").agg(F.min("distance").alias("distance")))
+        before, count = count, known.count()
+        if count == before:
             return known
-        known = known.unionByName(frontier)
+        length, jumps = 2 * length, written(_doubled(jumps, jumps))
 
 
 def members_of(instance_of: DataFrame, subclass_of: DataFrame, roots: Sequence[object]) -> DataFrame:
     """Entities whose class is a root or one of its transitive subclasses."""
     classes = class_closure(subclass_of, roots).select(F.col("node").alias("class"))
     return instance_of.join(classes, "class", "left_semi").select("entity").distinct()
+
+
+def members_of_each(instance_of: DataFrame, subclass_of: DataFrame, roots: DataFrame) -> DataFrame:
+    """(root, entity): the entities of many roots at once, each under every root above its classes."""
+    classes = closure(subclass_of, roots).select("root", F.col("node").alias("class"))
+    held = instance_of.select("entity", "class").distinct()
+    return held.join(classes, "class").select("root", "entity").distinct()

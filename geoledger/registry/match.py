@@ -175,6 +175,28 @@ def _j6(v):
     return MT.class_closure(v("class_edges"), [1])
 
 
+_ALL = """with recursive pairs as (
+ select distinct parent as root, parent as node, 0 as distance from {class_edges}
+ union
+ select p.root, e.child, p.distance + 1 from pairs p join {class_edges} e on e.parent = p.node
+ where p.distance < 30 and e.child <> p.root
+)"""
+
+
+@query("j6_closure_of_all", f"{_ALL} select root, node, cast(min(distance) as bigint) as distance from pairs group by root, node")
+def _j6_all(v):
+    return MT.closure(v("class_edges"))
+
+
+@query("j6_members_of_each", f"""{_ALL} select i.root, count(distinct i.entity) as members from (
+ select p.root, n.entity from {{instances}} n join pairs p on n.class = p.node where p.root > 0 and p.root % 10 = 3
+) i group by i.root""")
+def _j6_each(v):
+    roots = v("class_edges").select("parent").where("parent > 0 AND parent % 10 = 3")
+    found = MT.members_of_each(v("instances"), v("class_edges"), roots)
+    return found.groupBy("root").agg(F.count("entity").alias("members"))
+
+
 @query("j6_members_of", f"{_CLOSURE} select distinct entity from {{instances}} where class in (select node from known)")
 def _j6_members(v):
     return MT.members_of(v("instances"), v("class_edges"), [1])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 from geoledger import constants as K
 from geoledger.operators import merge as M
 from geoledger.registry import query
+from geoledger.session import ensure_checkpoint_dir
+from geoledger.sources.buckets import BucketedState
 from geoledger.sources.state import run_log
 
 SNAPSHOT_AT = datetime(2024, 2, 1, tzinfo=timezone.utc)
@@ -26,20 +29,20 @@ from {{current_state}} c full join {{incoming}} i on c.id = i.id
 """
 
 
-def _merged_column(name: str) -> str:
+def _merged_column(name: str, at: str = _AT, expired: str = _EXPIRED) -> str:
     lifecycle = {
         "id": "coalesce(c.id, i.id)",
-        "name_zh_updated_at": f"case when c.id is null then case when i.name_zh is not null then {_AT} end"
-        f" when i.id is not null and c.name_zh is distinct from i.name_zh then {_AT}"
+        "name_zh_updated_at": f"case when c.id is null then case when i.name_zh is not null then {at} end"
+        f" when i.id is not null and c.name_zh is distinct from i.name_zh then {at}"
         " else c.name_zh_updated_at end",
-        "is_active": f"case when i.id is not null then true when {_EXPIRED} then false else c.is_active end",
-        "first_seen_at": f"case when c.id is null then {_AT} else c.first_seen_at end",
-        "last_seen_at": f"case when i.id is not null then {_AT} else c.last_seen_at end",
-        "deactivated_at": f"case when i.id is not null then null when {_EXPIRED} then {_AT}"
+        "is_active": f"case when i.id is not null then true when {expired} then false else c.is_active end",
+        "first_seen_at": f"case when c.id is null then {at} else c.first_seen_at end",
+        "last_seen_at": f"case when i.id is not null then {at} else c.last_seen_at end",
+        "deactivated_at": f"case when i.id is not null then null when {expired} then {at}"
         " else c.deactivated_at end",
         "updated_at": f"case when c.id is null or (i.id is not null and ({_DIFFERS} or not c.is_active))"
-        f" or ({_EXPIRED}) then {_AT} else c.updated_at end",
-        "source_snapshot_at": f"case when i.id is not null then {_AT} else c.source_snapshot_at end",
+        f" or ({expired}) then {at} else c.updated_at end",
+        "source_snapshot_at": f"case when i.id is not null then {at} else c.source_snapshot_at end",
     }
     value = lifecycle.get(name, f"case when i.id is not null then i.{name} else c.{name} end")
     return f"{value} as {name}"
@@ -85,6 +88,28 @@ def _m1(v):
     return _plain(merged(v))
 
 
+AGAIN_AT = datetime(2024, 2, 20, tzinfo=timezone.utc)
+_AGAIN = "timestamp '2024-02-20 00:00:00'"
+_EXPIRED_AGAIN = _EXPIRED.replace(_AT, _AGAIN)
+
+
+@query(
+    "m1_merge_buckets",
+    f"with first as ({_MERGED}) select "
+    + ", ".join(_merged_column(name, _AGAIN, _EXPIRED_AGAIN) for name in K.STATE_COLUMNS)
+    + " from first c full join {incoming} i on c.id = i.id",
+)
+def _m1_buckets(v):
+    """A snapshot merged into a bucketed state and confirmed by an equal one, which writes no rows."""
+    current, incoming = v("current_state"), v("incoming")
+    spark = current.sparkSession
+    state = BucketedState(spark, f"{ensure_checkpoint_dir(spark)}/state-{uuid.uuid4().hex}", buckets=16)
+    state.load(current)
+    state.merge(incoming, SNAPSHOT_AT)
+    state.merge(incoming, AGAIN_AT)
+    return _plain(state.read())
+
+
 @query("m2_deactivate_missing", f"""
 select id, is_active and not (source_snapshot_at < {_AT}) as is_active,
  case when is_active and source_snapshot_at < {_AT} then {_AT} else deactivated_at end as deactivated_at,

@@ -386,3 +386,57 @@ def test_class_closure(spark):
     for _ in itertools.repeat(None, 200):
         known |= {c for c, p in edges if p in known}
     assert {r["node"] for r in MT.class_closure(df, [1, 100]).collect()} == known
+
+
+def counted_tables(monkeypatch):
+    made = []
+
+    def keep(df, real=MT.written):
+        made.append(1)
+        return real(df)
+
+    monkeypatch.setattr(MT, "written", keep)
+    return made
+
+
+def test_a_long_chain_is_closed_in_log_rounds(spark, monkeypatch):
+    made = counted_tables(monkeypatch)
+    n = 10_000
+    chain = spark.range(n).selectExpr("id + 1 AS child", "id AS parent")
+    assert MT.class_closure(chain, [0]).count() == n + 1
+    assert len(made) <= 1 + 4 * 15  # four tables a round
+
+
+def brute_closure(edges, roots):
+    out = {}
+    for root in roots:
+        near, depth = {root}, 0
+        while near:
+            for node in near:
+                out[root, node] = depth
+            near = {c for c, p in edges if p in near and (root, c) not in out}
+            depth += 1
+    return out
+
+
+def test_closures_of_graphs_with_cycles_and_many_parents(spark):
+    import random
+
+    rng = random.Random(4)
+    for n, m in ((6, 9), (40, 50), (60, 110)):
+        edges = {(rng.randrange(n), rng.randrange(n)) for _ in range(m)}
+        df = spark.createDataFrame([*edges, (None, 1), (2, None), *list(edges)[:3]], "child long, parent long")
+        want = brute_closure(edges, {p for _, p in edges})
+        got = {(r["root"], r["node"]): r["distance"] for r in MT.closure(df.where("child is not null")).collect() if r["root"] is not None}
+        assert got == want
+        for roots in ([1], [0, n + 5]):
+            assert {r["node"] for r in MT.class_closure(df, roots).collect()} == {c for _, c in brute_closure(edges, roots)}
+
+
+def test_members_of_each_root(spark):
+    edges = spark.createDataFrame([(2, 1), (3, 2), (5, 4), (3, 4)], "child long, parent long")
+    held = spark.createDataFrame([("a", 3), ("a", 3), ("a", 2), ("b", 5), ("c", 9)], "entity string, class long")
+    roots = spark.createDataFrame([(1,), (4,), (4,), (9,), (None,)], "class long")
+    got = {tuple(r) for r in MT.members_of_each(held, edges, roots).collect()}
+    assert got == {(1, "a"), (4, "a"), (4, "b"), (9, "c")}
+    assert MT.closure(edges.where("false")).count() == 0
