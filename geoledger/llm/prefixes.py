@@ -27,9 +27,9 @@ from geoledger.llm.rows import documents, keeping, ship, text_of
 
 #: Code points between stored counts.
 MARK = 1024
-#: What a worker keeps while a task runs: bytes of unit steps, of some UNIT_BYTES each, and token pairs, prefixes and
+#: What a worker keeps from text to text: bytes of unit steps, of some UNIT_BYTES each, and token pairs, prefixes and
 #: endings of some 100 bytes each. It is forgotten beyond that, which costs time only.
-KEPT_BYTES, UNIT_BYTES = 32 << 20, 200
+KEPT_BYTES, UNIT_BYTES = 96 << 20, 200
 KEPT_PAIRS, KEPT_PREFIXES, KEPT_ENDINGS = 1 << 18, 1 << 17, 1 << 15
 #: Bytes that the tokens ending at a place are looked up by.
 TAIL = 4
@@ -218,13 +218,6 @@ class Prefixes:
         out.append(self.plain_steps(text[at:]))
         return b"".join(out)
 
-    def forget(self) -> None:
-        self.known.clear()
-        self.known.older = {}
-        self.pairs.clear()
-        self.endings.clear()
-        self.met.clear()
-
 
 class Units(dict):
     """Unit -> steps of its token count, as signed bytes. Holds the last units used, within KEPT_BYTES."""
@@ -311,7 +304,6 @@ def store(vocabulary: str, limit: int = LIMIT):
                     column.append(x)
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             yield pa.StructArray.from_arrays(arrays, [f.name for f in STORE.fields])
-        counter.forget()
 
     return prefix_store
 
