@@ -13,6 +13,7 @@ from geoledger.registry import query
 from geoledger.session import ensure_checkpoint_dir
 from geoledger.sources.buckets import BucketedState
 from geoledger.sources.state import run_log
+from geoledger.streaming import lifecycle as LC
 
 SNAPSHOT_AT = datetime(2024, 2, 1, tzinfo=timezone.utc)
 _AT = "timestamp '2024-02-01 00:00:00'"
@@ -212,3 +213,37 @@ def _m4(v):
         F.col("value").alias("rows_total"),
     )
     return _plain(run_log(events))
+
+
+_DAYS = [datetime(2024, 2, day, tzinfo=timezone.utc) for day in (1, 2, 3)]
+#: What each snapshot leaves out, and the rows that differ in it.
+_GONE = ("id % 7 = 0", "id % 5 = 0", "id % 3 = 0 and id % 4 <> 0")
+_OTHER = ("id < 0", "id % 11 = 0", "id % 11 in (0, 1)")
+_SNAPSHOTS = " union all ".join(
+    f"select {n} as n, id, case when {other} then row_hash || '{n}' else row_hash end as row_hash, name_zh,"
+    f" municipality_zh, location_zh from {{incoming}} where not ({gone})"
+    for n, (gone, other) in enumerate(zip(_GONE, _OTHER, strict=True), 1)
+)
+_SAME = " and ".join(f"s.{name} is not distinct from p.{name}" for name in M.COMPARED)
+
+
+@query("s11_lifecycle_feed", f"""
+with s as ({_SNAPSHOTS}), before as (
+ select s.*, (select max(p.n) from s p where p.id = s.id and p.n < s.n) as prev from s
+)
+select s.id, case when s.prev is null then 'inserted' when {_SAME} then 'unchanged' else 'updated' end as change,
+ s.prev is not null and s.prev < s.n - 1 as reactivated, timestamp '2024-02-01 00:00:00' + to_days(cast(s.n - 1 as integer)) as snapshot_at
+from before s left join s p on p.id = s.id and p.n = s.prev
+union all
+select s.id, 'deactivated', false, timestamp '2024-02-01 00:00:00' + to_days(cast(s.n as integer))
+from s where s.n < 3 and not exists (select 1 from s q where q.id = s.id and q.n = s.n + 1)
+""")
+def _s11_feed(v):
+    """Three snapshots landed one after the other, each taken by a stream that starts again from its checkpoint."""
+    incoming = v("incoming")
+    spark = incoming.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark)}/lifecycle-{uuid.uuid4().hex}"
+    for n, (gone, other, at) in enumerate(zip(_GONE, _OTHER, _DAYS, strict=True), 1):
+        changed = F.when(F.expr(other), F.concat("row_hash", F.lit(str(n)))).otherwise(F.col("row_hash"))
+        LC.take(spark, incoming.where(f"not ({gone})").withColumn("row_hash", changed), folder, at)
+    return LC.read_feed(spark, folder).withColumn("snapshot_at", F.col("snapshot_at").cast("timestamp_ntz"))
