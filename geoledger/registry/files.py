@@ -21,6 +21,7 @@ from geoledger.session import ensure_checkpoint_dir
 from geoledger.sources import geojson as GJ
 from geoledger.sources import names as N
 from geoledger.sources import published as P
+from geoledger.sources.records import ordered_digest, placed_lines
 from geoledger.sources.snapshot import read_snapshot, snapshot_meta
 from geoledger.sources.state import STATE_SCHEMA, StateTable
 from geoledger.streaming.landing import announce, run_pending
@@ -71,27 +72,71 @@ def _s1_raw(v):
 _LINE = "cast(doc_id as varchar) || chr(9) || source || chr(9) || lang"
 
 
+@query("s1_read_quoted_breaks", f"""
+select id, ident, name || chr(10) || '"' || coalesce(municipality, '') || '",' as name,
+ case when id % 3 = 0 then keywords || chr(10) || chr(10) || name else keywords end as keywords from {{places}}
+""")
+def _s1_breaks(v):
+    """Places with line breaks, commas and quotation marks in their fields, written as CSV and read in parallel."""
+    told = F.concat("name", F.lit('\n"'), F.coalesce("municipality", F.lit("")), F.lit('",'))
+    more = F.when(F.expr("id % 3 = 0"), F.concat("keywords", F.lit("\n\n"), "name")).otherwise(F.col("keywords"))
+    places = v("places").select("id", "ident", told.alias("name"), more.alias("keywords"))
+    path = write_csv(places, f"{scratch(places.sparkSession)}/breaks")
+    read = read_snapshot(places.sparkSession, path, ["id", "ident", "name", "keywords"])
+    return read.select(F.col("id").cast("bigint").alias("id"), "ident", "name", "keywords")
+
+
 @query("s2_snapshot_meta", f"""
-with lines as (select source, {_LINE} as line from {{documents}}),
-sums as (
- select source, count(*) as n, sum(length(line) + 1) as bytes,
-  sum(('0x' || substr(md5(line), 1, 15))::bigint) as a, sum(('0x' || substr(md5(line), 17, 15))::bigint) as b
- from lines group by source
-)
-select source, cast(bytes as bigint) as bytes, sha256(n || ':' || a || ':' || b) as sha256 from sums
+with lines as (select source, doc_id, {_LINE} as line from {{documents}})
+select source, cast(sum(length(line) + 1) as bigint) as bytes,
+ sha256(string_agg(line, chr(10) order by doc_id) || chr(10)) as sha256
+from lines group by source
 """)
 def _s2(v):
     """Documents written as lines, one file for each source; bytes and digest of every file."""
     documents = v("documents")
     spark = documents.sparkSession
-    path = f"{scratch(spark)}/lines"
     line = F.concat_ws("\t", F.col("doc_id").cast("string"), "source", "lang")
-    rows = documents.select(F.col("source").alias("part"), line.alias("value"))
-    rows.repartition("part").write.partitionBy("part").text(path)
+    path = line_files(documents.select(F.col("source").alias("part"), line.alias("value"), "doc_id"), "doc_id")
     source = F.regexp_extract("path", "/part=([^/]*)/", 1).alias("source")
     return snapshot_meta(spark, f"{path}/part=*").select(source, "bytes", "sha256")
 
 
+def line_files(rows: DataFrame, *order: str) -> str:
+    """Lines written in order, one file for each `part`."""
+    path = f"{scratch(rows.sparkSession)}/lines"
+    rows.repartition("part").sortWithinPartitions("part", *order).select("part", "value").write.partitionBy("part").text(path)
+    return path
+
+
+_ITEM = "cast(l_orderkey as varchar(20)) || ':' || cast(l_linenumber as varchar(9)) || ':' || cast(l_partkey as varchar(20))"
+
+
+@query("s2_ordered_digest", f"""
+with lines as (
+ select l_linestatus as part, l_orderkey, l_linenumber, l_partkey, {_ITEM} as line from {{lineitem}}
+), placed as (
+ select *, coalesce(sum(length(line) + 1) over (partition by part order by l_orderkey, l_linenumber, l_partkey
+   rows between unbounded preceding and 1 preceding), 0) as pos
+ from lines
+), ranges as (
+ select part, floor(pos / 1048576) as n, sha256(string_agg(line, chr(10) order by pos)) as hash from placed group by all
+), folds as (
+ select part, floor(n / 1024) as n, sha256(string_agg(hash, '' order by n)) as hash from ranges group by all
+)
+select part, case when count(*) = 1 and (select max(n) from ranges) < 1024 then max(hash)
+ else sha256(string_agg(hash, '' order by n)) end as tree_sha256 from folds group by part
+""")
+def _s2_tree(v):
+    """Order lines written as one file for each status, hashed range by range in order."""
+    items = v("lineitem")
+    line = F.concat_ws(":", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey")])
+    rows = items.select(F.col("l_linestatus").alias("part"), line.alias("value"), "l_orderkey", "l_linenumber", "l_partkey")
+    path = line_files(rows, "l_orderkey", "l_linenumber", "l_partkey")
+    roots = ordered_digest(placed_lines(items.sparkSession, f"{path}/part=*"))
+    return roots.select(F.regexp_extract("path", "/part=([^/]*)/", 1).alias("part"), "tree_sha256")
+
+
 _NAME_LIST = ", ".join(K.NAME_COLUMNS)
 
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 import csv
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
 from geoledger import constants as K
 from geoledger.operators.quality import DataRejected
+from geoledger.sources.records import ordered_digest, placed_lines, read_records
 
 _BAD = "_bad"
 
@@ -39,13 +40,13 @@ def read_raw(
 ) -> DataFrame:
     """CSV rows as text under the given header cells, with the broken line in `_bad`.
 
-    Spark splits the files at line breaks, so one inside quotes is refused instead of breaking rows.
+    Spark splits the files at line breaks. Where one stands inside quotes, which leaves an odd number of quotation
+    marks on its line, records are put together from lines in parallel; `multi_line` reads each file in one task.
     """
     if not multi_line:
-        # A field with a line break leaves an odd number of quotation marks on its first line.
         marks = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
         if not spark.read.text(path).where(marks % 2 == 1).isEmpty():
-            raise DataRejected(f"{path} has a line break inside quotes; read it with multi_line=True")
+            return read_records(spark, path, header, _BAD)
     schema = S.StructType(
         [S.StructField(name, S.StringType()) for name in header] + [S.StructField(_BAD, S.StringType())]
     )
@@ -72,7 +73,7 @@ def read_snapshot(
     """Text columns of a snapshot by name, plus `_bad` with the text of a ragged row.
 
     Every file of a folder must carry the first file's header. Blank rows are dropped whatever
-    their number of cells. `multi_line` reads fields with line breaks, each file in one task.
+    their number of cells. Fields may hold line breaks; `multi_line` reads each file in one task.
     """
     header = read_header(spark, path)
     names = check_header(header, columns)
@@ -90,37 +91,42 @@ def ragged_rows(snapshot: DataFrame) -> DataFrame:
     return snapshot.where(F.col(_BAD).isNotNull()).select(F.col(_BAD).alias("line"))
 
 
-#: Name of the digest rule, to be kept beside digests.
-DIGEST_RULE = "line-sums-1"
+#: Files up to this size are hashed as one value. Larger ones get the root of a tree of ranges.
+WHOLE_BYTES = 64 << 20
 
 
 def snapshot_meta(spark: SparkSession, path: str) -> DataFrame:
-    """(path, bytes, sha256) per file, by one rule for files of any size.
+    """(path, bytes, sha256, tree_sha256) per file.
 
-    The digest covers the number of a file's lines and two sums of their hashes, which Spark
-    computes over file splits; no file is ever one value. Empty files have no row.
+    `sha256` is the SHA-256 of the file's bytes, as its publisher would state it; it is null for a file that is too
+    large to be one value. Such a file has `tree_sha256`, the root over hashes of its ranges in order, which Spark
+    computes range by range; it is null for the others.
     """
-    files = (
-        spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"))
+    files = spark.read.format("binaryFile").load(path)
+    small = files.where(F.col("length") <= WHOLE_BYTES).select(
+        "path",
+        F.col("length").alias("bytes"),
+        F.sha2("content", 256).alias("sha256"),
+        F.lit(None).cast("string").alias("tree_sha256"),
     )
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"))
-    digests = lines.groupBy("path").agg(_line_sums("value").alias("sums"))
-    joined = files.join(digests, "path")
-    return joined.select("path", "bytes", F.sha2("sums", 256).alias("sha256"))
-
-
-def _line_sums(column: str) -> Column:
-    """The number of values and the sums of two parts of their hashes, whatever their order."""
-    parts = [F.conv(F.substring(F.md5(F.col(column)), at, 15), 16, 10).cast("decimal(20,0)") for at in (1, 17)]
-    sums = [F.coalesce(F.sum(part).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)")) for part in parts]
-    return F.concat_ws(":", F.count(F.lit(1)).cast("string"), *[x.cast("string") for x in sums])
+    large = files.where(F.col("length") > WHOLE_BYTES).select("path", "length").collect()  # few, as each is large
+    if not large:
+        return small
+    roots = ordered_digest(placed_lines(spark, *[r["path"] for r in large]))
+    sizes = spark.createDataFrame([(r["path"], r["length"]) for r in large], "path string, bytes bigint")
+    found = sizes.join(roots, "path").select("path", "bytes", F.lit(None).cast("string").alias("sha256"), "tree_sha256")
+    return small.unionByName(found)
 
 
 def source_digest(meta: DataFrame) -> DataFrame:
-    """One row for all files of a snapshot: bytes and one digest, the file's own for a single file."""
+    """One row for all files of a snapshot: bytes and one digest.
+
+    A single file has its own digest. Of several files it is the hash of their digests, whatever the files are called.
+    """
+    own = F.coalesce("sha256", "tree_sha256")
     return meta.agg(
         F.sum("bytes").alias("source_bytes"),
-        F.when(F.count(F.lit(1)) == 1, F.max("sha256"))
-        .otherwise(F.sha2(_line_sums("sha256"), 256))
+        F.when(F.count(F.lit(1)) == 1, F.max(own))
+        .otherwise(F.sha2(F.array_join(F.sort_array(F.collect_list(own)), ""), 256))
         .alias("source_sha256"),
     )
