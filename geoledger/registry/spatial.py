@@ -121,7 +121,7 @@ with asked as (
  from asked cross join {{places}}
 )
 select query, cast(row_number() over w as integer) as place, position, km from far where km <= 1500
-qualify row_number() over w <= 3 window w as (partition by query order by km, position)
+window w as (partition by query order by km, position) qualify row_number() over w <= 3
 """)
 def j8_globe(v):
     return C.nearest_on_globe(seekers(v), points(v), k=3, max_km=1500.0)
