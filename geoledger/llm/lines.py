@@ -19,7 +19,7 @@ from geoledger.llm.rows import documents, keeping, stored
 
 #: Words of the shortest run that is deleted when it repeats.
 RUN_WORDS = 50
-#: Deleted runs, two numbers each, up to which they are broadcast to the texts: 32 MB. More are shuffled.
+#: Deleted runs, two numbers each, and repeated fingerprints, up to which they are broadcast: 32 MB. More are shuffled.
 BROADCAST_RUNS = 1_000_000
 #: A line's place: words before it in the upper half, its number in the lower half.
 HALF = 1 << 32
@@ -45,7 +45,11 @@ def words_of(line: Column) -> Column:
 
 
 def lines(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(rid, owner, line, hash, words, place) of all lines of all rows; null texts have none."""
+    """(rid, owner, line, words, place, blanks, unit) of all lines that hold words; null texts have none.
+
+    Blank lines go with the line behind them: `unit` holds their hashes and its own, `blanks` is their number. Those at
+    the end of a text make a row without words. So a run of blank lines is one row, however long it is.
+    """
     numbered = df.where(F.col(text).isNotNull()).select(
         row_key(key, text).alias("rid"),
         F.col(key).alias("owner"),
@@ -56,10 +60,20 @@ def lines(df: DataFrame, key: str, text: str) -> DataFrame:
         ).alias("line", "_l"),
     )
     before = Window.partitionBy("rid", "owner").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
-    return (
+    filled = F.col("words") > 0
+    placed = (
         numbered.select("rid", "owner", "line", "_l.hash", "_l.words")
         .dropDuplicates(["rid", "owner", "line"])
         .withColumn("place", F.coalesce(F.sum("words").over(before), F.lit(0)) * HALF + F.col("line"))
+        .withColumn("filled", F.coalesce(F.sum(filled.cast("int")).over(before), F.lit(0)))
+    )
+    runs = placed.groupBy("rid", "owner", "filled").agg(
+        F.max(F.struct("line", "words", "place", "hash")).alias("_l"),
+        F.sort_array(F.collect_list(F.when(~filled, F.struct("line", "hash")))).alias("_blank"),
+    )
+    own = F.when(F.col("_l.words") > 0, F.array("_l.hash")).otherwise(F.array().cast("array<bigint>"))
+    return runs.select(
+        "rid", "owner", "_l.line", "_l.words", "_l.place", F.size("_blank").alias("blanks"), F.concat("_blank.hash", own).alias("unit")
     )
 
 
@@ -72,22 +86,28 @@ def windows(df: DataFrame, key: str = "doc_id", text: str = "text", least: int =
         "rid",
         "owner",
         "line",
+        "blanks",
+        "unit",
         F.col("words").alias("own_words"),
         F.max("line").over(inside).alias("last"),
         F.sum("words").over(inside).alias("held"),
-        F.collect_list("hash").over(inside).alias("hashes"),
-        F.collect_list("hash").over(left).alias("left"),
-        F.collect_list("hash").over(right).alias("right"),
+        F.collect_list("unit").over(inside).alias("inside"),
+        F.collect_list("unit").over(left).alias("left"),
+        F.collect_list("unit").over(right).alias("right"),
     )
-    return listed.where((F.col("held") >= least) & (F.col("own_words") > 0)).select(
+    # The blank lines before the first line stand in its unit, and to the left of the window.
+    hashes = F.slice(F.flatten("inside"), F.col("blanks") + 1, F.lit(2**31 - 1))
+    own = F.slice("unit", F.lit(1), F.col("blanks"))
+    opened = listed.where((F.col("held") >= least) & (F.col("own_words") > 0)).withColumn("hashes", hashes)
+    return opened.select(
         "rid",
         "owner",
         "line",
         "last",
         F.array_min("hashes").alias("fingerprint"),
         F.xxhash64("hashes").alias("content"),
-        "left",
-        "right",
+        F.concat(F.flatten("left"), own).alias("left"),
+        F.flatten("right").alias("right"),
     )
 
 
@@ -102,13 +122,10 @@ def repeated_runs(df: DataFrame, key: str = "doc_id", text: str = "text", least:
     """(rid, owner, from, to): lines of later repeated runs; runs may overlap."""
     found = stored(windows(df, key, text, least))
     place = F.struct("owner", "rid", "line")
-    repeated = (
-        found.groupBy("fingerprint")
-        .agg(F.min(F.struct("owner", "rid")).alias("lo"), F.max(F.struct("owner", "rid")).alias("hi"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("fingerprint")
-    )
-    suspects = found.join(repeated, "fingerprint", "left_semi")
+    # Counted before they are sent, and apart from the windows, so that a frequent one is no large task.
+    repeated = stored(found.groupBy("fingerprint").count().where("count > 1").select("fingerprint"))
+    few = repeated.count() <= BROADCAST_RUNS
+    suspects = found.join(F.broadcast(repeated) if few else repeated, "fingerprint", "left_semi")
     firsts = (
         suspects.groupBy("content")
         .agg(F.min(F.struct(place.alias("place"), "left", "right")).alias("first"), F.count(F.lit(1)).alias("n"))
@@ -147,8 +164,8 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least: i
 
     Documents are ordered by key, null keys first, then by a hash of their text; rows equal in key and text are one
     document and get the same result. A null text stays null with 0 lines; an empty one has one blank line. Blank lines
-    count no words but belong to the run around them. Where nothing repeats the text is untouched. Other columns stay;
-    those named like an output column are replaced.
+    count no words but belong to the run around them. Where nothing repeats the text is untouched. A very long text is
+    as many rows as it has lines with words. Other columns stay; those named like an output column are replaced.
     """
 
     def body(rows: DataFrame) -> DataFrame:
@@ -185,8 +202,7 @@ with line as (
  select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as pos
  from documents where text is not null
 ), counted as (
- select *, trim(translate(line, chr(9) || chr(13) || chr(11) || chr(12), '    '), ' ') as t,
-  case when t = '' then 0 else length(t) - length(replace(t, ' ', '')) + 1 end as words from line
+ select *, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) as words from line
 ), placed as (
  select *, coalesce(sum(words) over (partition by doc_id order by pos rows between unbounded preceding and 1 preceding), 0)
   * {HALF} + pos as place from counted

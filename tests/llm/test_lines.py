@@ -12,8 +12,7 @@ LEAST = 6
 
 
 def words_of(line):
-    line = line.translate(str.maketrans("\t\r\x0b\x0c", "    ")).strip(" ")
-    return line.count(" ") + 1 if line else 0
+    return len(re.findall(r"[^\x20\x09-\x0D]+", line))
 
 
 def plain(rows, least):
@@ -47,7 +46,9 @@ def plain(rows, least):
 
 def test_equals_a_plain_version(spark):
     rng = random.Random(5)
-    pool = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 4))) for _ in range(14)] + ["", "", " "]
+    gaps = [" ", " ", " ", "  ", "\t", " \t "]
+    pool = ["".join(rng.choice("abcdefgh") + rng.choice(gaps) for _ in range(rng.randint(1, 4))) for _ in range(14)]
+    pool += ["", "", " ", "\t\t", "\xa0"]
     docs = []
     for _ in range(70):
         if docs and rng.random() < 0.35:
@@ -91,3 +92,18 @@ def test_aligned_lines_of_few_words_stay(spark):
     got = {r["doc_id"]: r for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert {k: r["n_deleted"] for k, r in got.items()} == {1: 0, 2: 0, 3: 0, 4: 0, 5: 0, 6: 1}
     assert got[2]["text"] == rows[1][1] and got[6]["text"] == "six"
+
+
+def test_long_runs_of_blank_lines(spark):
+    import time
+
+    words = " ".join(f"w{k}" for k in range(LEAST))
+    blank = "\n" * 100_000
+    rows = [(1, f"{words}{blank}tail a"), (2, f"head b\n{words}{blank}end c"), (3, blank), (4, f"{blank}\n{words}\n\n")]
+    started = time.time()
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in lines.dedup_lines(table, least=LEAST).collect()}
+    assert time.time() - started < 60
+    assert got[1]["n_deleted"] == 0 and got[3]["n_deleted"] == 0
+    assert got[2]["n_deleted"] == 100_000 and got[2]["text"] == "head b\nend c"
+    assert got[4]["n_deleted"] == 3 and got[4]["text"] == blank
