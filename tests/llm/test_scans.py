@@ -143,3 +143,40 @@ def test_a_known_identifier_is_found_inside_a_group(spark):
     rows += [(100, "please dial 5551234567 soon"), (101, "in room 12 5551234567 was seen")]
     got = {r["doc_id"]: r["pii_spans"] for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert [rows[41][1][m["start"] : m["end"]] for m in got[101]] == ["5551234567"]
+
+
+WORDS = """account server factory bean user profile service manager order history event stream parser token cache index
+builder handler request response client session config value table column window buffer reader writer report monthly
+summary total price river mountain garden letter winter summer journey kitchen paper travel health music market budget
+storm bridge island orange yellow purple teacher student system network program language question answer picture""".split()
+
+
+def structured_token(rng):
+    words = [rng.choice(WORDS) for _ in range(rng.randint(2, 5))]
+    number = str(rng.randint(1, 2030))
+    return rng.choice(
+        [
+            words[0] + "".join(w.title() for w in words[1:]) + number,
+            "/".join(words) + "/page" + number,
+            "-".join(words) + "-" + number,
+            "_".join(w.upper() for w in words) + "_" + number,
+            "-".join("".join(rng.choice("0123456789abcdef") for _ in range(n)) for n in (8, 4, 4, 4, 12)),
+            f"20{rng.randint(10, 29)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}T{rng.randint(100000, 235959)}Z",
+        ]
+    )
+
+
+def random_token(rng, sizes):
+    letters = rng.choice([string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_lowercase + string.digits])
+    return "7" + "".join(rng.choice(letters) for _ in range(rng.choice(sizes) - 2)) + "k"
+
+
+@pytest.mark.parametrize("names, secret, sizes, least", [(2400, 120, [20, 24, 32, 40], 0.9), (200, 300, [20, 32, 64], 0.9), (30, 4, [24, 40], 0.5), (2000, 0, [20], 0), (1500, 200, [14, 16, 18], 0.6)])
+def test_names_paths_and_dates_are_not_reported(spark, names, secret, sizes, least):
+    rng = random.Random(names)
+    tokens = [structured_token(rng) for _ in range(names)] + [random_token(rng, sizes) for _ in range(secret)]
+    rows = [(i, f"see {t} for more") for i, t in enumerate(tokens)]
+    got = {r["doc_id"]: len(r["secret_spans"]) for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found, false = sum(got[i] > 0 for i in range(names, len(rows))), sum(got[i] > 0 for i in range(names))
+    assert found >= least * secret
+    assert false <= 0.05 * (found + false)
