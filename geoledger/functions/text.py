@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -86,9 +89,50 @@ def title_variants(city: Column | str) -> Column:
     return F.array_distinct(F.array_compact(F.array(given, short)))
 
 
+#: Branches of a trie that are tried one after the other; more are halved by their first characters.
+BRANCHES = 4
+#: Phrases that are looked up one after the other.
+BUCKET = 8
+
+
+def trie_pattern(phrases: Sequence[str]) -> str:
+    """A pattern that matches the longest phrase at a place, from a trie of the phrases.
+
+    Nodes with many branches choose between halves by the next character, so a place costs a few steps for each
+    character of a phrase, whatever the number of phrases.
+    """
+
+    def char(c: str) -> str:
+        return f"\\x{{{ord(c):x}}}"
+
+    def choice(branches: list[tuple[str, str]]) -> str:
+        if len(branches) <= BRANCHES:
+            return "|".join(rest for _, rest in branches)
+        half = len(branches) // 2
+        sides = [(f"[{char(part[0][0])}-{char(part[-1][0])}]", part) for part in (branches[:half], branches[half:])]
+        return "|".join(f"(?={first})(?:{choice(part)})" for first, part in sides)
+
+    def node(words: list[str]) -> str:
+        """Of sorted words that are not empty."""
+        branches = []
+        for first, group in groupby(words, key=lambda w: w[0]):
+            tails = [w[1:] for w in group]
+            longer = [t for t in tails if t]
+            inner = f"(?:{node(longer)})" if longer else ""
+            branches.append((first, char(first) + inner + ("?" if longer and len(longer) < len(tails) else "")))
+        return choice(branches)
+
+    return node(sorted({p for p in phrases if p}))
+
+
 @dataclass(frozen=True)
 class Simplifier:
-    """Character and phrase table from traditional to simplified writing; empty means identity."""
+    """Character and phrase table from traditional to simplified writing; empty means identity.
+
+    A text is walked once. At each place the longest phrase wins and is replaced as a whole, whatever the order of the
+    table; what is replaced is not looked at again. The first of several entries for a phrase counts. The characters
+    between phrases are replaced one by one.
+    """
 
     source: str = ""
     target: str = ""
@@ -99,8 +143,26 @@ class Simplifier:
             raise ValueError("source and target need the same number of characters")
 
     def __call__(self, text: Column) -> Column:
-        for old, new in self.phrases:
-            text = F.replace(text, F.lit(old), F.lit(new))
+        known = {old: new for old, new in reversed(self.phrases) if old}
+        if not known:
+            return self._characters(text)
+        pattern = trie_pattern([*known])
+        buckets = max(1, len(known) // BUCKET)
+        held: list[dict[str, str]] = [{} for _ in range(buckets)]
+        for old, new in known.items():
+            held[zlib.crc32(old.encode()) % buckets][old] = new
+        table = F.from_json(F.lit(json.dumps(held)), "array<map<string,string>>")
+
+        def converted(phrase: Column) -> Column:
+            bucket = (F.crc32(phrase.cast("binary")) % buckets).cast("int")
+            return F.try_element_at(F.get(table, bucket), phrase)
+
+        hits = F.transform(F.regexp_extract_all(text, F.lit(pattern), 0), converted)
+        gaps = F.transform(F.split(text, pattern, -1), self._characters)
+        parts = F.zip_with(gaps, hits, lambda gap, hit: F.concat(gap, F.coalesce(hit, F.lit(""))))
+        return F.array_join(parts, "")
+
+    def _characters(self, text: Column) -> Column:
         return F.translate(text, self.source, self.target) if self.source else text
 
 

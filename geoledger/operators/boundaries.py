@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -85,24 +86,26 @@ def ring_area(points: Column | str) -> Column:
     return F.when(F.size(ring) < 3, F.lit(0.0)).otherwise(F.abs(total) / 2)
 
 
-def kept_points(
-    x: np.ndarray, y: np.ndarray, first: np.ndarray, last: np.ndarray, tolerance: np.ndarray
-) -> np.ndarray:
-    """Mask of the points that Douglas-Peucker keeps, for many rings at once.
+def stay_limits(x: np.ndarray, y: np.ndarray, first: np.ndarray, last: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """For each point the tolerance below which Douglas-Peucker keeps it, for many rings at once.
 
-    Ring k fills the positions first[k] to last[k]. Each turn splits all open spans of all rings at
-    their farthest points, so the number of turns is the depth of the deepest ring.
+    Ring k fills the positions first[k] to last[k]. A span is split at its farthest point, which stays as long as the
+    tolerance is below its distance and below the limits of the splits that led there. Spans are split down to the
+    tolerance least[k]; points inside the others get 0. Each turn splits all open spans of all rings, so the number of
+    turns is the depth of the deepest ring, whatever the number of tolerances asked of the result. Ends and rings of
+    fewer than four points stay at any tolerance.
     """
-    keep = np.ones(len(x), dtype=bool)
-    work = (last - first >= 3) & (tolerance > 0)
-    first, last, tolerance = first[work], last[work], tolerance[work]
+    limits = np.full(len(x), np.inf)
+    work = last - first >= 3
+    first, last, least = first[work], last[work], least[work]
     inner = last - first - 1
-    keep[np.repeat(first + 1 - np.cumsum(inner) + inner, inner) + np.arange(inner.sum())] = False
+    limits[np.repeat(first + 1 - np.cumsum(inner) + inner, inner) + np.arange(inner.sum())] = 0.0
+    above = np.full(len(first), np.inf)
     while True:
         some = last - first > 1
-        first, last, tolerance = first[some], last[some], tolerance[some]
+        first, last, least, above = first[some], last[some], least[some], above[some]
         if not len(first):
-            return keep
+            return limits
         inner = last - first - 1
         starts = np.cumsum(inner) - inner
         span = np.repeat(np.arange(len(first)), inner)
@@ -118,36 +121,54 @@ def kept_points(
         tops = np.flatnonzero(away == farthest[span])
         _, earliest = np.unique(span[tops], return_index=True)
         middle = at[tops[earliest]]
-        split = farthest > tolerance
-        first, last, tolerance, middle = first[split], last[split], tolerance[split], middle[split]
-        keep[middle] = True
+        split = farthest > least
+        first, last, least, middle = first[split], last[split], least[split], middle[split]
+        above = np.minimum(above, farthest)[split] if len(split) else above
+        limits[middle] = above
         first, last = np.concatenate([first, middle]), np.concatenate([middle, last])
-        tolerance = np.concatenate([tolerance, tolerance])
+        least, above = np.concatenate([least, least]), np.concatenate([above, above])
+
+
+def kept_points(
+    x: np.ndarray, y: np.ndarray, first: np.ndarray, last: np.ndarray, tolerance: np.ndarray
+) -> np.ndarray:
+    """Mask of the points that Douglas-Peucker keeps, for many rings at once; all of them at no tolerance."""
+    limits = stay_limits(x, y, first, last, tolerance)
+    whole = np.repeat(tolerance, last - first + 1)
+    return (limits > whole) | (whole <= 0)
 
 
-@F.arrow_udf(S.ArrayType(S.BooleanType()))
-def _kept_points(x: pa.Array, y: pa.Array, tolerance: pa.Array) -> pa.Array:
+@F.arrow_udf(S.ArrayType(S.DoubleType()))
+def _stay_limits(x: pa.Array, y: pa.Array, least: pa.Array) -> pa.Array:
     offsets = x.offsets.to_numpy()
-    keep = kept_points(
+    limits = stay_limits(
         x.values.to_numpy(zero_copy_only=False),
         y.values.to_numpy(zero_copy_only=False),
         offsets[:-1].astype(np.int64),
         offsets[1:].astype(np.int64) - 1,
-        tolerance.to_numpy(zero_copy_only=False),
+        least.to_numpy(zero_copy_only=False),
     )
-    return pa.ListArray.from_arrays(x.offsets, pa.array(keep))
+    return pa.ListArray.from_arrays(x.offsets, pa.array(limits))
 
 
-def simplify_points(points: Column | str, tolerance: Column | float) -> Column:
-    """The points a ring keeps at a tolerance; ends always stay."""
+def point_limits(points: Column | str, least: Column | float) -> Column:
+    """The points of a ring with the tolerance below which each stays: struct<p, limit>. Exact from `least` on."""
     ring = _col(points)
     ship(SparkSession.active())
+    down_to = least if isinstance(least, Column) else F.lit(float(least))
+    limits = _stay_limits(F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"]), down_to)
+    return F.zip_with(ring, limits, lambda p, limit: F.struct(p.alias("p"), limit.alias("limit")))
+
+
+def points_at(limited: Column | str, tolerance: Column | float) -> Column:
+    """The points that stay at a tolerance; all of them at none."""
     limit = tolerance if isinstance(tolerance, Column) else F.lit(float(tolerance))
-    keep = _kept_points(
-        F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"]), limit
-    )
-    paired = F.zip_with(ring, keep, lambda p, kept: F.struct(p.alias("p"), kept.alias("kept")))
-    return F.transform(F.filter(paired, lambda pair: pair["kept"]), lambda pair: pair["p"])
+    return F.transform(F.filter(_col(limited), lambda q: (q["limit"] > limit) | (limit <= 0)), lambda q: q["p"])
+
+
+def simplify_points(points: Column | str, tolerance: Column | float) -> Column:
+    """The points a ring keeps at a tolerance; ends always stay."""
+    return points_at(point_limits(points, tolerance), tolerance)
 
 
 def simplify_rings(rings: DataFrame, tolerance: Column | float) -> DataFrame:
@@ -199,11 +220,22 @@ def build_levels(
     joined or shuffled.
     """
     rings = explode_rings(features, label_field).where(F.size("points") >= 4)
-    spread = rings.select("*", ring_area("points").alias("area"), F.explode(_spec_array(specs)).alias("spec"))
-    for name in _source_keys(features):
-        spread = spread.where(F.col(name) == F.col(f"spec.{name}"))
-    large = spread.where((F.col("ring_index") > 0) | (F.col("area") >= F.col("spec.min_area")))
-    simple = large.withColumn("points", simplify_points("points", F.col("spec.tolerance")))
+    fits = F.filter(
+        _spec_array(specs),
+        lambda spec: reduce(
+            lambda a, b: a & b,
+            [F.col(name) == spec[name] for name in _source_keys(features)],
+            (F.col("ring_index") > 0) | (F.col("area") >= spec["min_area"]),
+        ),
+    )
+    wanted = rings.withColumn("area", ring_area("points")).withColumn("specs", fits).where(F.size("specs") > 0)
+    # One simplification a ring, down to the finest of its levels; each level takes the points that stay at its own.
+    least = F.array_min(F.filter(F.transform("specs", lambda s: s["tolerance"]), lambda t: t > 0))
+    limited = wanted.withColumn("limited", point_limits("points", F.coalesce(least, F.lit(float("inf")))))
+    levels = F.transform(
+        "specs", lambda s: F.struct(s.alias("spec"), points_at(F.col("limited"), s["tolerance"]).alias("points"))
+    )
+    simple = limited.select("feature", "iso", "name", "polygon", "ring_index", F.inline(levels))
     return simple.where(F.size("points") >= 4).select(
         "feature",
         "iso",

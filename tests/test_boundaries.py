@@ -172,3 +172,23 @@ def test_levels_round_to_the_decimals_of_their_spec(spark):
     assert got["one"][0] == 0.1 and got["five"][0] == 0.12346
     with pytest.raises(Exception, match="no such scale"):
         spark.range(1).select(B.quantise(F.array(F.struct(F.lit(1.0).alias("x"), F.lit(1.0).alias("y"))), F.col("id").cast("int"), [3])).collect()
+
+
+def test_one_simplification_gives_all_tolerances():
+    rng = random.Random(12)
+    sizes = [1, 2, 3, 4, 5, 30, 400]
+    x, y = (np.array([rng.gauss(0, 1) for _ in range(sum(sizes))]) for _ in range(2))
+    ends = np.cumsum(sizes)
+    first, last = ends - sizes, ends - 1
+    limits = B.stay_limits(x, y, first, last, np.full(len(sizes), 0.05))
+    for tolerance in (0.05, 0.2, 0.7, 1.5, 9.0):
+        for a, b in zip(first, last):
+            points = list(zip(x[a : b + 1], y[a : b + 1]))
+            got = [p for p, limit in zip(points, limits[a : b + 1]) if limit > tolerance]
+            assert got == plain_simplify(points, tolerance)
+
+
+def test_levels_call_the_simplification_once_a_ring(spark):
+    v = lambda name: view(spark, "/root/testdata/sf0.001", name)
+    plan = f19_levels(v)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "Generate" in plan.split("ArrowEvalPython")[0]

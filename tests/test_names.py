@@ -420,8 +420,6 @@ def brute_closure(edges, roots):
 
 
 def test_closures_of_graphs_with_cycles_and_many_parents(spark):
-    import random
-
     rng = random.Random(4)
     for n, m in ((6, 9), (40, 50), (60, 110)):
         edges = {(rng.randrange(n), rng.randrange(n)) for _ in range(m)}
@@ -440,3 +438,39 @@ def test_members_of_each_root(spark):
     got = {tuple(r) for r in MT.members_of_each(held, edges, roots).collect()}
     assert got == {(1, "a"), (4, "a"), (4, "b"), (9, "c")}
     assert MT.closure(edges.where("false")).count() == 0
+
+
+def longest_match(text, phrases, source, target):
+    out, at, longest = [], 0, max(map(len, phrases), default=0)
+    while at < len(text):
+        size = next((n for n in range(min(longest, len(text) - at), 0, -1) if text[at : at + n] in phrases), 0)
+        out.append(phrases[text[at : at + size]] if size else text[at].translate(str.maketrans(source, target)))
+        at += size or 1
+    return "".join(out)
+
+
+@pytest.mark.parametrize("entries", [0, 1, 7, 10_000])
+def test_the_longest_phrase_wins_once(spark, entries):
+    rng = random.Random(entries)
+    letters = "".join(map(chr, range(0x4E00, 0x4E40))) + "a.*[𠀀(\\"
+    drawn = "".join(rng.choice(letters[:9]) for _ in range(400)) if entries < 10 else None
+
+    def word(most):
+        return "".join(rng.choice(letters) for _ in range(rng.randint(1, most)))
+
+    table = {}
+    while len(table) < entries:
+        table.setdefault(word(5) if rng.random() < 0.9 or not table else rng.choice([*table]) + word(2), word(4))
+    source, target = letters[:20], letters[20:40]
+    texts = [word(60) for _ in range(150)] + ["", drawn or "", "".join(rng.choice([*table, "x"]) for _ in range(300))]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, None])], "k long, text string")
+    simplify = T.Simplifier(source, target, phrases=tuple(table.items()))
+    got = {r["k"]: r["done"] for r in df.select("k", simplify(F.col("text")).alias("done")).collect()}
+    assert got[len(texts)] is None
+    for k, text in enumerate(texts):
+        assert got[k] == longest_match(text, table, source, target), text
+
+
+def test_a_replacement_is_not_replaced_again(spark):
+    simplify = T.Simplifier("b", "x", phrases=(("a", "b"), ("bb", "a"), ("a", "never")))
+    assert spark.range(1).select(simplify(F.lit("abbbb"))).first()[0] == "baa"
