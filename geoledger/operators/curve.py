@@ -136,7 +136,7 @@ def near_pairs(
     index = point_ranges(points, by)
     own = [*by, *AXES]
     beam = max(BEAM, 2 * (-(-k // (1 << STEP))))
-    asked = queries.select(*own)
+    asked = queries.select(*own).distinct()
     limit = F.lit(float("inf") if radius is None else float(radius))
 
     def level(number: int) -> DataFrame:

@@ -8,9 +8,10 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F
 
 from geoledger import constants as K
+from geoledger.operators import facets as FC
 from geoledger.operators import merge as M
 from geoledger.registry import query
-from geoledger.session import ensure_checkpoint_dir
+from geoledger.session import ensure_checkpoint_dir, written
 from geoledger.sources.buckets import BucketedState
 from geoledger.sources.state import run_log
 from geoledger.streaming import lifecycle as LC
@@ -247,3 +248,31 @@ def _s11_feed(v):
         changed = F.when(F.expr(other), F.concat("row_hash", F.lit(str(n)))).otherwise(F.col("row_hash"))
         LC.take(spark, incoming.where(f"not ({gone})").withColumn("row_hash", changed), folder, at)
     return LC.read_feed(spark, folder).withColumn("snapshot_at", F.col("snapshot_at").cast("timestamp_ntz"))
+
+
+_FACETS_SQL = "type, continent, iso_country, scheduled_service, name_zh is not null as named"
+_SECOND = """select * replace (case when id % 11 = 0 then 'heliport' else type end as type,
+  case when id % 13 = 0 then null else name_zh end as name_zh) from {incoming} where id % 5 <> 0"""
+
+
+@query(
+    "a4_facets_by_feed",
+    f"with first as ({_MERGED}), other as ({_SECOND}), second as (select "
+    + ", ".join(_merged_column(name, _AGAIN, _EXPIRED_AGAIN) for name in K.STATE_COLUMNS)
+    + f" from first c full join other i on c.id = i.id) select {_FACETS_SQL}, count(*) as places"
+    " from second where is_active group by all",
+)
+def _a4_facets(v):
+    """Counts by facet after two merges, from the counts before them and the deltas of each."""
+    current, incoming = v("current_state"), v("incoming")
+    other = incoming.where("id % 5 <> 0").withColumns(
+        {
+            "type": F.when(F.expr("id % 11 = 0"), "heliport").otherwise(F.col("type")),
+            "name_zh": F.when(F.expr("id % 13 <> 0"), F.col("name_zh")),
+        }
+    )
+    counts = written(FC.facet_counts(current))
+    first = written(FC.facet_deltas(current, incoming, SNAPSHOT_AT))
+    merged = written(M.merge_snapshot(current, incoming, SNAPSHOT_AT))
+    second = written(FC.facet_deltas(merged, other, AGAIN_AT))
+    return FC.apply_deltas(counts, first, second)
