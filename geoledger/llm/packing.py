@@ -181,7 +181,6 @@ def packer(vocabulary: str) -> Callable:
                 yield made()
         if held:
             yield made()
-        encoder.forget()
 
     return run
 

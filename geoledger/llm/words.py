@@ -12,9 +12,9 @@ import functools
 import re
 
 UNIT = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
-#: Bytes of byte-level units that a worker keeps, and of words while a task runs, and what a unit takes about. The units
-#: not used lately are forgotten beyond that, which costs time and changes no result.
-KEPT_BYTES, KEPT_WORD_BYTES, UNIT_BYTES = 300 << 20, 48 << 20, 200
+#: Bytes of byte-level units that a worker keeps, and of words, and what a unit takes about. The units not used lately
+#: are forgotten beyond that, which costs time and changes no result.
+KEPT_BYTES, KEPT_WORD_BYTES, UNIT_BYTES = 300 << 20, 128 << 20, 200
 #: Letters whose bytes the vocabularies write one by one.
 LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: Longest unit that is kept.
@@ -75,10 +75,6 @@ class Units(dict):
             self[unit] = packed
         return packed
 
-    def forget(self) -> None:
-        self.older = {}
-        self.clear()
-
 
 @functools.cache
 def tokenizer(path: str):
@@ -141,11 +137,6 @@ class WordLevel:
         except Uncut:
             return b"".join([self.units.whole(w.decode()) for w in words])
 
-    def forget(self) -> None:
-        """Frees what was kept; a task does so at its end."""
-        self.units.forget()
-
-
 @functools.cache
 def byte_level(path: str) -> ByteLevel:
     return ByteLevel(path)
