@@ -338,6 +338,29 @@ def _s9(v):
     return read.select("kind", F.col("properties")["name"].alias("name"))
 
 
+@query("s9_feature_rejects", """
+select case doc_id % 4 when 1 then 'not a JSON object' when 2 then 'not a feature' else 'geometry without coordinates' end as reason,
+ count(*) as n, cast(sum(doc_id) as bigint) as ids
+from {documents} where doc_id % 4 <> 0 group by reason
+""")
+def _s9_rejects(v):
+    """Documents written as feature lines, three of four broken in different ways; the rejects by reason."""
+    documents = v("documents")
+    spark = documents.sparkSession
+    name = F.concat(F.lit('{"properties": {"id": "'), F.col("doc_id").cast("string"), F.lit('"}, '))
+    line = (
+        F.when(F.expr("doc_id % 4 = 0"), F.concat(name, F.lit('"geometry": {"type": "Point", "coordinates": [1, 2]}}')))
+        .when(F.expr("doc_id % 4 = 1"), F.concat(name, F.lit('"geometry": {"type": ')))
+        .when(F.expr("doc_id % 4 = 2"), F.concat(name, F.lit('"type": "Topology"}')))
+        .otherwise(F.concat(name, F.lit('"geometry": {"type": "Point"}}')))
+    )
+    path = f"{scratch(spark)}/features"
+    documents.select(line.alias("value")).write.text(path)
+    ids = F.regexp_extract("line", r'"id": "([0-9]+)"', 1).cast("long")
+    rejects = GJ.feature_lines(spark, path)[1]
+    return rejects.groupBy("reason").agg(F.count("line").alias("n"), F.sum(ids).alias("ids"))
+
+
 @query("s10_write_boundary_level", f"""
 {boundary._BUILT}
 select layer, level, count(distinct feature) as features, count(*) as rings, cast(sum(n) as bigint) as points,

@@ -14,7 +14,7 @@ from geoledger.operators.quality import DataRejected
 from geoledger.plans.publish import boundary_job
 from geoledger.registry.boundary import TOLERANCE, f17_simplify, f19_levels, features, rings
 from geoledger.registry.views import view
-from geoledger.sources.geojson import read_geojson
+from geoledger.sources.geojson import feature_lines, read_geojson
 
 SMALL = "/root/testdata/sf0.001"
 SQUARE = [[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]]
@@ -122,6 +122,25 @@ def test_other_documents_are_rejected(spark, write):
         read_geojson(spark, write('{"type": "Feature"}', "one.geojson"))
 
 
+def test_broken_feature_lines_are_rejected_with_a_reason(spark, write):
+    point = '{"type": "Feature", "properties": {"name": "a"}, "geometry": {"type": "Point", "coordinates": [1, 2]}}'
+    bad = ['{"type": "Feature", "prop', '{"type": "Point", "coordinates": [1, 2]}', "{}", "[1]",
+           '{"properties": {}, "geometry": {"coordinates": [1]}}', '{"properties": {}, "geometry": {"type": "Point"}}']
+    unlocated = '{"type": "Feature", "properties": {"name": "b"}, "geometry": null}'
+    path = write("\n".join([point, point, "", unlocated, *bad]) + "\n", "lines.geojsonl")
+    good, rejects = feature_lines(spark, path)
+    rows = good.collect()
+    assert len(rows) == 3 and len({r["feature"] for r in rows}) == 3
+    assert sorted((r["properties"]["name"], r["kind"], r["coordinates"]) for r in rows if r["kind"]) == [("a", "Point", "[1,2]")] * 2
+    found = {r["line"]: r["reason"] for r in rejects.collect()}
+    assert set(found) == set(bad)
+    assert found[bad[0]] == "not a JSON object" and found[bad[1]] == found[bad[2]] == "not a feature"
+    assert found[bad[4]] == "geometry without a kind" and found[bad[5]] == "geometry without coordinates"
+    with pytest.raises(DataRejected, match="no feature"):
+        read_geojson(spark, path, lines=True)
+    assert read_geojson(spark, write(point + "\n", "good.geojsonl"), lines=True).count() == 1
+
+
 def test_segments(spark):
     flats = [[0.0, 0.0, 10.0, 0.0, 10.0, 10.0, 0.0, 0.0], [0.0, 0.0], [0.0, 0.0, 10.0, 0.0]]
     df = spark.createDataFrame(list(enumerate(flats)), "ring bigint, flat array<double>")
