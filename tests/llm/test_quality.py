@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 
@@ -69,3 +70,35 @@ def test_odd_rows(spark):
     assert all(r["base_failed"] and not r["kept"] for r in rows if not (r["text"] or "").strip())
     assert rows[0]["rid"] == "c6" and rows[0]["_stats"] == table.collect()[0]["_stats"]
     assert quality.assess(empty_table(spark)).count() == 0
+
+
+def plain_posteriors(rows, rounds=200):
+    """Expectation-maximisation text by text, in plain numbers: the chance that each is good."""
+    n_rules = len(rows[0])
+    bad = [0.9 if -1 in votes else 0.05 for votes in rows]
+    for _ in range(rounds):
+        good = min(max((sum(1 - b for b in bad) + 9) / (len(rows) + 10), 0.05), 0.99)
+        odds = [math.log(good / (1 - good))] * len(rows)
+        for k in range(n_rules):
+            on_good, on_bad = {-1: 0.1, 0: 9.0, 1: 0.9}, {-1: 3.0, 0: 6.5, 1: 0.5}
+            for votes, b in zip(rows, bad, strict=True):
+                on_good[votes[k]] += 1 - b
+                on_bad[votes[k]] += b
+            all_good, all_bad = sum(on_good.values()), sum(on_bad.values())
+            for i, votes in enumerate(rows):
+                odds[i] += math.log(on_good[votes[k]] / all_good * all_bad / on_bad[votes[k]])
+        old, bad = bad, [1 / (1 + math.exp(max(-700.0, min(700.0, o)))) for o in odds]
+        if max(abs(a - b) for a, b in zip(old, bad, strict=True)) < 1e-9:
+            break
+    return [1 - b for b in bad]
+
+
+def test_posteriors_and_verdicts_equal_a_plain_version(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = quality.assess(docs.select("doc_id", "text")).collect()
+    want = plain_posteriors([r["votes"] for r in rows])
+    for r, p in zip(rows, want, strict=True):
+        assert abs(r["quality"] - p) < 1e-6
+        if abs(p - quality.KEEP_FROM) > 1e-6:
+            assert r["kept"] == (not r["base_failed"] and p >= quality.KEEP_FROM)
+    assert 0 < sum(r["kept"] for r in rows) < len(rows)

@@ -57,3 +57,25 @@ def test_query_over_documents(spark):
 def test_written_shards(spark, tmp_path):
     sharding.write_shards(odd_table(spark), str(tmp_path / "s"), "doc_id", [1.0] * 3, files=2)
     assert spark.read.parquet(str(tmp_path / "s")).count() == len(odd_rows())
+
+
+def test_shards_of_the_query_equal_a_plain_version(spark):
+    import math
+
+    sf = "/root/testdata/sf0.001"
+    keys = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").distinct()
+    hashes = F.array(*[F.xxhash64(F.col("doc_id").cast("string"), F.lit(k)) for k in range(25)])
+    drawn = {r["doc_id"]: r["h"] for r in keys.select("doc_id", hashes.alias("h")).collect()}
+
+    def plain(key, shards):
+        def score(k):
+            u = (((drawn[key][k] % 2**64) >> 11) + 0.5) / 2**53
+            return -1.0 / math.log(u), -k
+
+        return -max(score(k) for k in range(shards))[1]
+
+    slots = {}
+    for r in sharding.op3_rendezvous_sharding(spark, sf).collect():
+        assert (r["shard"], r["grown_shard"]) == (plain(r["doc_id"], 24), plain(r["doc_id"], 25))
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
