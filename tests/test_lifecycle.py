@@ -43,3 +43,23 @@ def test_rows_without_id_late_snapshots_and_restarts_without_news(spark, tmp_pat
     lifecycle.take(spark, snapshot(spark, [(1, "b", None)]), folder, START - timedelta(hours=1))
     lifecycle.start_feed(spark, f"{folder}/landing", f"{folder}/feed", f"{folder}/checkpoint").awaitTermination()
     assert [tuple(r)[:2] for r in lifecycle.read_feed(spark, folder).collect()] == [(1, "inserted")]
+
+
+def test_ids_share_the_state_of_their_group(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lifecycle, "GROUPS", 3, raising=False)
+    folder, want = str(tmp_path / "stream"), set()
+    seen = [range(60), range(30, 90), range(0, 90, 2)]
+    for turn, ids in enumerate(seen[:2]):  # two snapshots in one batch, so a group has ids of different times
+        lifecycle.land(snapshot(spark, [(n, "a", None) for n in ids]), f"{folder}/landing", START + timedelta(hours=turn))
+    for turn in (1, 2):
+        if turn == 2:
+            lifecycle.land(snapshot(spark, [(n, "b", None) for n in seen[2]]), f"{folder}/landing", START + timedelta(hours=2))
+        query = lifecycle.start_feed(spark, f"{folder}/landing", f"{folder}/feed", f"{folder}/checkpoint")
+        query.awaitTermination()
+        assert {p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress} == {3}
+    want |= {(n, "inserted", False, 0) for n in range(60)} | {(n, "unchanged", False, 1) for n in range(30, 60)}
+    want |= {(n, "inserted", False, 1) for n in range(60, 90)} | {(n, "deactivated", False, 1) for n in range(30)}
+    want |= {(n, "updated", n < 30, 2) for n in seen[2]} | {(n, "deactivated", False, 2) for n in range(31, 90, 2)}
+    hours = ((F.unix_timestamp("snapshot_at") - int(START.timestamp())) / 3600).cast("int")
+    got = lifecycle.read_feed(spark, folder).select("id", "change", "reactivated", hours).collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
