@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
@@ -19,6 +19,9 @@ from geoledger.session import written
 
 #: Bytes of a range that is hashed as one value; a line belongs to the range in which it starts.
 RANGE_BYTES = 1 << 20
+#: Bytes of a range that are put together at a time. Short lines take ten times their bytes on their way into a text, of
+#: which Spark holds up to 128 a task, so whole ranges would fill an executor.
+PIECE_BYTES = 1 << 14
 #: Hashes that are folded into one.
 FOLD = 1024
 
@@ -106,19 +109,33 @@ def read_records(spark: SparkSession, path: str, header: Sequence[str], bad: str
     return rows.select(*[F.col("row").getField(name).alias(name) for name in [*header, bad]])
 
 
+def pieces(lines: DataFrame) -> DataFrame:
+    """(path, block, range, offset, value): lines of a split that stand in the same PIECE_BYTES of a range, as one text.
+
+    Lines keep the partitions of their splits, so none travels. A piece is as long as PIECE_BYTES and one line at most.
+    """
+    place = [F.floor(F.col("offset") / size).alias(name) for name, size in (("range", RANGE_BYTES), ("piece", PIECE_BYTES))]
+    cut = lines.select("path", "block", *place, "offset", "value")
+    cut = cut.groupBy("path", "block", "range", "piece").agg(F.min("offset").alias("offset"), _in_order("offset", "value", "\n"))
+    return cut.drop("piece")
+
+
 def ordered_digest(lines: DataFrame) -> DataFrame:
     """(path, tree_sha256): a hash of each range of a file's bytes, folded in order to one.
 
     A range holds the lines that start in it, so it is as long as RANGE_BYTES and one line at most. Levels of FOLD
     hashes fold to one until one is left; other lines or another order of them give another root.
     """
-    cut = lines.withColumn("range", F.floor(F.col("offset") / RANGE_BYTES))
-    text = F.array_join(F.sort_array(F.collect_list(F.struct("offset", "value")))["value"], "\n")
-    level = written(cut.groupBy("path", "range").agg(F.sha2(text, 256).alias("hash")))
+    level = written(pieces(lines).groupBy("path", "range").agg(F.sha2(_in_order("offset", "value", "\n"), 256).alias("hash")))
     most = level.agg(F.max("range")).first()[0] or 0
     while True:
-        folded = F.array_join(F.sort_array(F.collect_list(F.struct("range", "hash")))["hash"], "")
-        level = level.withColumn("range", F.floor(F.col("range") / FOLD)).groupBy("path", "range").agg(F.sha2(folded, 256).alias("hash"))
+        above = F.floor(F.col("range") / FOLD).alias("range")
+        level = level.groupBy("path", above).agg(F.sha2(_in_order("range", "hash", ""), 256).alias("hash"))
         if most < FOLD:
             return level.select("path", F.col("hash").alias("tree_sha256"))
         most, level = most // FOLD, written(level)
+
+
+def _in_order(place: str, text: str, between: str) -> Column:
+    """The texts of a group put together by their place."""
+    return F.array_join(F.sort_array(F.collect_list(F.struct(place, text)))[text], between).alias(text)
